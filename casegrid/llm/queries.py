@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, simhash
+from . import common, quality, simhash, toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
+    judged = toxicity.scored(docs.select("doc_id", "text"), toxicity.fit(docs, labels), ["doc_id"])
+    return judged.select("doc_id", common.held_out("doc_id", toxicity.FOLDS, toxicity.HELD).alias("held_out"), "score", "predicted")
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +21,18 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
+    judged = quality.scored(docs.select("doc_id", "text"), quality.fit(docs, labels), ["doc_id"])
+    return judged.select("doc_id", common.held_out("doc_id", quality.FOLDS, quality.HELD).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_simhash_dedup": op3_simhash_dedup}
+    return {
+        "op1_toxicity": op1_toxicity,
+        "op3_simhash_dedup": op3_simhash_dedup,
+        "op4_quality_classifier": op4_quality_classifier,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
