@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, quality, simhash, toxicity
+from . import common, langid, quality, simhash, toxicity
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,11 +27,18 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", common.held_out("doc_id", quality.FOLDS, quality.HELD).alias("held_out"), "score", "predicted")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    labelled = langid.predicted(docs.select("doc_id", "text"), langid.fit(docs), ["doc_id"])
+    return labelled.select("doc_id", common.held_out("doc_id", langid.FOLDS, langid.HELD).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op4_quality_classifier": op4_quality_classifier,
+        "op6_language_id": op6_language_id,
     }
 
 
