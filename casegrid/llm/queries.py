@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, langid, quality, simhash, toxicity
+from . import common, langid, pii, quality, simhash, toxicity
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,12 +33,17 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("doc_id", common.held_out("doc_id", langid.FOLDS, langid.HELD).alias("held_out"), "lang_pred", "score")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(common.table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op4_quality_classifier": op4_quality_classifier,
         "op6_language_id": op6_language_id,
+        "op10_pii": op10_pii,
     }
 
 
