@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, langid, pii, quality, simhash, toxicity
+from . import common, decontamination, langid, pii, quality, simhash, toxicity
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,12 +37,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.found(common.table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op4_quality_classifier": op4_quality_classifier,
         "op6_language_id": op6_language_id,
+        "op9_decontamination": op9_decontamination,
         "op10_pii": op10_pii,
     }
 
