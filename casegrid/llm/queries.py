@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontamination, langid, pii, quality, simhash, toxicity
+from . import common, decontamination, langid, packing, pii, quality, simhash, toxicity
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +19,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", common.held_out("doc_id", toxicity.FOLDS, toxicity.HELD).alias("held_out"), "score", "predicted")
 
 
+def op2_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(common.table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -44,6 +51,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_best_two_fit": op2_best_two_fit,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op4_quality_classifier": op4_quality_classifier,
         "op6_language_id": op6_language_id,
