@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontamination, langid, packing, pii, quality, simhash, toxicity
+from . import common, decontamination, embeddings, langid, packing, pii, quality, simhash, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -48,6 +48,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash_dedup": op3_simhash_dedup,
         "op4_quality_classifier": op4_quality_classifier,
         "op6_language_id": op6_language_id,
+        "op8_embedding_dedup": op8_embedding_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_pii": op10_pii,
     }
