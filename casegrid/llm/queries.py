@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontamination, embeddings, langid, packing, pii, quality, simhash, toxicity
+from . import common, decontamination, embeddings, html, langid, packing, pii, quality, secrets, simhash, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -52,13 +52,23 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(common.table(spark, sf_dir, "embeddings"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(common.table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(common.table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_best_two_fit": op2_best_two_fit,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op4_quality_classifier": op4_quality_classifier,
+        "op5_secrets": op5_secrets,
         "op6_language_id": op6_language_id,
+        "op7_html_extraction": op7_html_extraction,
         "op8_embedding_dedup": op8_embedding_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_pii": op10_pii,
