@@ -159,7 +159,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nodes = known.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(nodes.select("fp"), large))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id")).checkpoint()  # written, so that the join below may split a hot group
     named = rooted.join(least, "root").select("fp", "component_id")
     return known.join(named, "fp").select("doc_id", "fp", "component_id")
 
