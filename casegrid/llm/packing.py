@@ -9,6 +9,7 @@ often as its lengths last. Each piece then finds its place from its rank among t
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,15 +23,17 @@ from pyspark.sql import types as T
 from . import common
 
 CAPACITY, END_ID = 4096, 1
-MOST_CHUNKS = 250_000
+MOST_CHUNKS, MOST_WORDS = 300_000, 400_000
 _tokenizers: dict[str, "ChunkIds"] = {}
 
 
 class ChunkIds:
     """Token ids of texts, by way of the chunks between blanks and line feeds.
 
-    The tokenizer drops white space and no token spans it, so a text's ids are those of its chunks in order. Ids of
-    chunks seen before are kept, up to MOST_CHUNKS of them.
+    The tokenizer drops white space and no token spans it, so a text's ids are those of its chunks in order. It also
+    lower-cases, and parts a stop or comma from the letter before it; so chunks are taken in lower case where that can't
+    matter, and share the ids of their words. New words of letters alone are encoded many at a time, as one line: each ends where a word-end token does.
+    Up to MOST_CHUNKS chunks and MOST_WORDS words are kept.
     """
 
     def __init__(self, path: str):
@@ -38,7 +41,12 @@ class ChunkIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.chunks: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+        self.marks = {x: self._each([x])[0] for x in ".,"}
 
     @classmethod
     def of(cls, path: str) -> ChunkIds:
@@ -46,21 +54,47 @@ class ChunkIds:
             _tokenizers[path] = cls(path)
         return _tokenizers[path]
 
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _line(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters; one by one if the tokenizer doesn't see one word in each."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        raw, cuts = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)] if len(cuts) == len(words) else self._each(words)
+
+    def _learn(self, new: set[str]) -> None:
+        marks = self.marks
+        parted = [(c, c[:-1], marks[c[-1]]) if c[-1] in marks and c[-2:-1].isalpha() and c[-2] != "İ" else (c, c, b"") for c in new]
+        missing = list({w for _, w, _ in parted}.difference(self.words))
+        plain, other = [w for w in missing if w.isalpha()], [w for w in missing if not w.isalpha()]
+        for words, encode, step in ((plain, self._line, 2000), (other, self._each, 5000)):
+            for k in range(0, len(words), step):
+                part = words[k : k + step]
+                self.words.update(zip(part, encode(part), strict=True))
+        words = self.words
+        self.chunks.update((c, words[w] + tail) for c, w, tail in parted)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers, the end id last."""
-        if len(self.known) > MOST_CHUNKS:
-            self.known = {"": b""}
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({c for chunks in split for c in chunks if c not in self.known})
-        for k in range(0, len(new), 5000):
-            part = new[k : k + 5000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[c] = np.array(e.ids, "<u4").tobytes()
+        if len(self.chunks) > MOST_CHUNKS:
+            self.chunks = {"": b""}
+        if len(self.words) > MOST_WORDS:
+            self.words = {}
+        split = [(t.lower() if lowers_alike(t) else t).replace("\n", " ").split(" ") for t in texts]
+        if new := set().union(*split).difference(self.chunks):
+            self._learn(new)
         end = np.array([END_ID], "<u4").tobytes()
-        get = self.known.__getitem__
+        get = self.chunks.__getitem__
         return [b"".join(map(get, chunks)) + end for chunks in split]
 
 
+def lowers_alike(text: str) -> bool:
+    """Whether lower-casing the text first leaves its ids as they are: no letter whose small form depends on its place,
+    nothing that normalization would join, and no string that could become a special token."""
+    return "<|" not in text and (text.isascii() or ("Σ" not in text and "İ" not in text and unicodedata.is_normalized("NFC", text)))
+
+
 PIECE = [T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("turn", T.LongType())]
 
 
