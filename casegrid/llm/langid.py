@@ -129,7 +129,7 @@ def predicted(docs: DataFrame, model: Tagger, keep: list[str], text: str = "text
     name = hashlib.sha256(model.weights.tobytes() + model.trans.tobytes()).hexdigest() if model.languages else ""
 
     def make():
-        table = kept_table(name, model.emissions, len(model.languages)) if model.languages else None
+        table = kept_table(name, model.emissions, len(model.languages), 400_000) if model.languages else None
 
         def compute(batch: pa.RecordBatch) -> list:
             if table is None:

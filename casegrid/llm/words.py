@@ -7,22 +7,20 @@ from itertools import repeat
 
 import numpy as np
 
-#: A table that holds more words than this is emptied before the next words are added.
-MOST_WORDS = 150_000
-
 
 class WordTable:
-    """rows[i] belongs to the word that ``find`` gave i; ``compute`` gives the rows of new words. Row 0 is zero."""
+    """rows[i] belongs to the word that ``find`` gave i; ``compute`` gives the rows of new words. Row 0 is zero. A table
+    of more than ``most`` words is emptied before the next batch."""
 
-    def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int):
-        self.compute, self.width = compute, width
+    def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int, most: int):
+        self.compute, self.width, self.most = compute, width, most
         self.known: dict[str, int] = {}
         self.rows = np.zeros((1, width), np.float32)
         self.used = 1
 
     def start(self) -> None:
         """Called between batches: the only time at which rows may go."""
-        if len(self.known) > MOST_WORDS:
+        if len(self.known) > self.most:
             self.known, self.rows, self.used = {}, np.zeros((1, self.width), np.float32), 1
 
     def find(self, words: list[str]) -> np.ndarray:
@@ -44,9 +42,9 @@ class WordTable:
 _kept: dict[str, WordTable] = {}
 
 
-def kept_table(name: str, compute: Callable[[list[str]], np.ndarray], width: int) -> WordTable:
+def kept_table(name: str, compute: Callable[[list[str]], np.ndarray], width: int, most: int = 150_000) -> WordTable:
     """The worker's table of that name (a digest of the model is part of it); one table is kept at a time."""
     if name not in _kept:
         _kept.clear()
-        _kept[name] = WordTable(compute, width)
+        _kept[name] = WordTable(compute, width, most)
     return _kept[name]
