@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import reading, selection
+
+MODULES = (selection, reading)
+
 
 def entry(spark: SparkSession) -> DataFrame:
-    return spark.range(1)
+    """The flagship query: every case decided, on the smallest tables."""
+    return queries()["precedence_winner"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: query for module in MODULES for name, (query, _) in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for module in MODULES for name, (_, sql) in module.QUERIES.items() if sql is not None}
