@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import reading, selection
+from .plans import deciding, reading, selection
 
-MODULES = (selection, reading)
+MODULES = (selection, reading, deciding)
 
 
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship query: every case decided, on the smallest tables."""
-    return queries()["precedence_winner"](spark, "/root/testdata/sf0.001")
+    return queries()["decide_gates"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -31,7 +31,8 @@ def batch_epoch(candidates: DataFrame, cases: DataFrame, config: EngineConfig =
 
     Over the valid arrival dates read at the least score or more: p90 stands at index max(0, int(0.9 n) - 1); bulk is
     the newest date within 60 days of p90, or the one before it if it is over 45 days newer; shift is what p90 has
-    moved, 0 within the dead band. With fewer than 20 dates the epoch is the reference moved by the metadata alone.
+    moved, 0 within the dead band. The epoch is the reference moved by the larger of shift and meta, but not beyond
+    bulk, nor before the reference. With fewer than 20 dates the epoch is the reference moved by the metadata alone.
     """
     good = candidates.where((F.col("field") == "arrival_date") & (F.col("score") >= config.epoch_min_score)).select(X.real_date(F.col("value")).alias("day")).where("day is not null")
     ranks = order_statistics(good, "day")
@@ -50,7 +51,7 @@ def batch_epoch(candidates: DataFrame, cases: DataFrame, config: EngineConfig =
     row = row.crossJoin(F.broadcast(metadata_shift(cases, config).withColumnRenamed("shift", "meta")))
     e0 = F.lit(config.receipt_epoch)
     step = F.date_add(e0, F.greatest("shift", "meta"))
-    epoch = F.when(F.col("n") < config.epoch_min_dates, F.date_add(e0, F.col("meta"))).otherwise(F.greatest(e0, F.least(step, F.greatest(F.col("bulk"), F.date_add(e0, F.col("meta"))))))
+    epoch = F.when(F.col("n") < config.epoch_min_dates, F.date_add(e0, F.col("meta"))).otherwise(F.greatest(e0, F.least(step, F.col("bulk"))))
     return row.withColumn("epoch", epoch)
 
 

@@ -12,7 +12,7 @@ EFF = "case " + " ".join(f"when field = '{f}' and source = '{s}' then {r}" for f
 TEXT = ", ".join(f"'{s}'" for s in vocab.TEXT_SOURCES)
 AGREE = ", ".join(f"'{s}'" for s in vocab.AGREEMENT_FIELDS)
 #: Common tables of the selection: w is the precedence winner, g the strongest group, picked the choice between them.
-SELECT = f"""c as (select case_id, field, value, lower(value) as k, source, cast({EFF} as int) as eff, score, ord from candidates),
+_SELECT = f"""c as (select case_id, field, value, lower(value) as k, source, cast({EFF} as int) as eff, score, ord from @pool),
  r as (select *, row_number() over (partition by case_id, field order by eff, score desc, ord) as n from c),
  w as (select * from r where n = 1),
  gs as (select case_id, field, k, count(distinct source) as n_sources, min(eff) as min_rank, max(score) as max_score, min(ord) as first, bool_or(source in ({TEXT})) as has_text from c group by all),
@@ -34,8 +34,12 @@ SELECT = f"""c as (select case_id, field, value, lower(value) as k, source, cast
         join tied t on t.case_id = p.case_id and t.field = p.field join amb a on a.case_id = p.case_id and a.field = p.field)"""
 
 
+def select_sql(pool: str = "candidates") -> str:
+    return _SELECT.replace("@pool", pool)
+
+
 def chosen_sql(query: str, *more: str) -> str:
-    return oracle(("candidates", *more), f"with {SELECT} {query}")
+    return oracle(("candidates", *more), f"with {select_sql()} {query}")
 
 
 def _candidates(spark, sf_dir):
