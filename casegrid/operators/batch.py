@@ -22,12 +22,12 @@ def metadata_shift(cases: DataFrame, config: EngineConfig = DEFAULT) -> DataFram
     the cap, never negative. A batch without dates has shift 0."""
     ranks = order_statistics(cases.where("created is not null"), "created")
     median = ranks.where("floor(total / 2) >= `from` and floor(total / 2) < upto").agg(F.max("day").alias("day"))
-    gap = F.datediff("day", F.lit(config.creation_reference))
+    gap = F.coalesce(F.datediff("day", F.lit(config.creation_reference)), F.lit(0))
     return median.select(F.when(gap >= config.shift_dead_band, F.least(gap, F.lit(config.shift_cap))).otherwise(0).cast("int").alias("shift"))
 
 
 def batch_epoch(candidates: DataFrame, cases: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
-    """One row: n, p90, bulk, shift, meta, epoch.
+    """One row: n (null without dates), p90, bulk, shift, meta, epoch.
 
     Over the valid arrival dates read at the least score or more: p90 stands at index max(0, int(0.9 n) - 1); bulk is
     the newest date within 60 days of p90, or the one before it if it is over 45 days newer; shift is what p90 has
@@ -35,23 +35,24 @@ def batch_epoch(candidates: DataFrame, cases: DataFrame, config: EngineConfig =
     bulk, nor before the reference. With fewer than 20 dates the epoch is the reference moved by the metadata alone.
     """
     good = candidates.where((F.col("field") == "arrival_date") & (F.col("score") >= config.epoch_min_score)).select(X.real_date(F.col("value")).alias("day")).where("day is not null")
-    ranks = order_statistics(good, "day")
-    k = "greatest(0, int(0.9D * total) - 1)"
-    p90 = ranks.where(f"{k} >= `from` and {k} < upto").agg(F.max("day").alias("p90"), F.max("total").alias("n"))
-    near = ranks.crossJoin(F.broadcast(p90)).where(F.col("day") <= F.date_add("p90", config.epoch_bulk_days))
-    # the two newest dates, repeats included
-    tops = near.agg(F.max(F.struct("day", (F.col("upto") - F.col("from")).alias("m"))).alias("top"), F.max("day").alias("newest"), F.max("p90").alias("p90"), F.max("n").alias("n"))
-    second = near.crossJoin(F.broadcast(tops.select("newest"))).where("day < newest").agg(F.max("day").alias("other"))
-    both = tops.crossJoin(F.broadcast(second))
-    runner = F.when(F.col("top.m") > 1, F.col("newest")).otherwise(F.col("other"))
-    bulk = F.when(F.datediff("newest", runner) > config.epoch_gap_days, runner).otherwise(F.col("newest"))
+    # one row: the dates with their numbers in order. There are no more of them than days on the calendar
+    counts = good.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    row = counts.agg(F.array_sort(F.collect_list(F.struct("day", "n"))).alias("days"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    k = F.greatest(F.lit(0), (F.lit(0.9) * F.col("n")).cast("int") - 1)
+    zero = F.struct(F.lit(0).cast("long").alias("upto"), F.lit(None).cast("date").alias("day"))
+    step = lambda a, x: F.struct((a["upto"] + x["n"]).alias("upto"), F.coalesce(a["day"], F.when(a["upto"] + x["n"] > F.col("k"), x["day"])).alias("day"))
+    row = row.withColumn("k", k).withColumn("p90", F.aggregate("days", zero, step, lambda a: a["day"]))
+    row = row.withColumn("near", F.filter("days", lambda x: x["day"] <= F.date_add("p90", config.epoch_bulk_days)))
+    last, other = F.try_element_at("near", F.lit(-1)), F.when(F.size("near") > 1, F.try_element_at("near", F.lit(-2)))
+    runner = F.when(last["n"] > 1, last["day"]).otherwise(other["day"])
+    bulk = F.when(F.datediff(last["day"], runner) > config.epoch_gap_days, runner).otherwise(last["day"])
     moved = F.datediff("p90", F.lit(config.p90_reference))
     shift = F.when(moved >= config.shift_dead_band, moved).otherwise(0)
-    row = both.select(F.coalesce("n", F.lit(0)).alias("n"), "p90", bulk.alias("bulk"), F.coalesce(shift, F.lit(0)).cast("int").alias("shift"))
+    row = row.select(F.when(F.col("n") > 0, F.col("n")).alias("n"), "p90", bulk.alias("bulk"), F.coalesce(shift, F.lit(0)).cast("int").alias("shift"))
     row = row.crossJoin(F.broadcast(metadata_shift(cases, config).withColumnRenamed("shift", "meta")))
     e0 = F.lit(config.receipt_epoch)
-    step = F.date_add(e0, F.greatest("shift", "meta"))
-    epoch = F.when(F.col("n") < config.epoch_min_dates, F.date_add(e0, F.col("meta"))).otherwise(F.greatest(e0, F.least(step, F.col("bulk"))))
+    thin = F.coalesce("n", F.lit(0)) < config.epoch_min_dates
+    epoch = F.when(thin, F.date_add(e0, F.col("meta"))).otherwise(F.greatest(e0, F.least(F.date_add(e0, F.greatest("shift", "meta")), F.col("bulk"))))
     return row.withColumn("epoch", epoch)
 
 

@@ -6,7 +6,7 @@ shuffled again.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -55,6 +55,7 @@ def groups(candidates: DataFrame, own_ranks: bool = True) -> DataFrame:
             F.max("score").alias("max_score"),
             F.min("ord").alias("first"),
             F.min(F.when(F.col("score") >= 80, F.col("ord"))).alias("first80"),
+            F.count_if((F.col("field") == "sponsor_id") & F.col("value").rlike(vocab.SPONSOR_ID)).alias("n_ids"),
         )
     )
 
@@ -63,7 +64,7 @@ def selected(candidates: DataFrame, config: EngineConfig = DEFAULT, own_ranks: b
     """The value of each field: precedence winner, agreement override, flag completion; with its evidence.
 
     case_id, field, value, source, rank, score, ord, agreement (distinct sources of the value), support (its highest
-    score), ambiguous, overridden, completed. Fields without candidates have no row.
+    score), ambiguous, overridden, completed, and for sponsors reads (the well-formed ids read, with their numbers). Fields without candidates have no row.
     """
     row = F.struct("best", "n_sources", "has_text", "min_rank", "max_score", "key", "first80")
     order, strength = F.struct("best.rank", -F.col("best.score"), "best.ord"), F.struct(-F.col("n_sources"), "min_rank", -F.col("max_score"), "first")
@@ -74,6 +75,7 @@ def selected(candidates: DataFrame, config: EngineConfig = DEFAULT, own_ranks: b
         F.collect_list(tie).alias("ties"),
         F.collect_list(top).alias("tops"),
         F.collect_list(F.when(F.col("field") == "risk_flags", F.struct("first80", "key", row.alias("row")))).alias("flags"),
+        F.collect_list(F.when(F.col("n_ids") > 0, F.struct(F.col("best.value").alias("value"), F.col("n_ids").alias("n")))).alias("reads"),
     )
     override = F.col("field").isin(vocab.AGREEMENT_FIELDS) & (F.col("g.n_sources") >= 2) & (F.col("g.has_text") | ~F.col("w.best.source").isin(vocab.TEXT_SOURCES))
     both = both.withColumn("overridden", override & (F.col("g.key") != F.col("w.key"))).withColumn("c", F.when(override, F.col("g")).otherwise(F.col("w")))
@@ -95,6 +97,7 @@ def selected(candidates: DataFrame, config: EngineConfig = DEFAULT, own_ranks: b
         ((least(F.col("ties")) > 1) | (F.col("field").isin(vocab.AGREEMENT_FIELDS) & (least(F.col("tops")) > 1))).alias("ambiguous"),
         "overridden",
         F.col("more").isNotNull().alias("completed"),
+        "reads",
     )
 
 
@@ -106,34 +109,41 @@ def winners(candidates: DataFrame) -> DataFrame:
 
 
 def date_twins(candidates: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
-    """Arrival candidates without those that aren't on the calendar, and without implausible ones that have a plausible
-    twin: the same month and day in another year, 180 days back to 30 ahead of the receipt epoch."""
-    day = X.real_date(F.col("value"))
-    age = F.datediff(F.lit(config.receipt_epoch), F.col("day"))
-    plausible = age.between(-config.future_days, config.stale_days)
-    dated = candidates.where("field = 'arrival_date'").withColumn("day", day).where("day is not null").withColumn("plausible", plausible).withColumn("mmdd", F.substring("value", 6, 5))
-    twins = dated.groupBy("case_id", "mmdd").agg(F.bool_or("plausible").alias("some"))
-    return dated.join(twins, ["case_id", "mmdd"]).where("plausible or not some").select(*[c for c in candidates.columns], "plausible")
-
-
-def digit_vote(candidates: DataFrame, chosen: DataFrame, guarded: list[str] = vocab.REVOKED_SPONSORS) -> DataFrame:
-    """Sponsor ids voted digit by digit among the reads within two digits of the chosen one; a tie keeps the chosen
-    digit, and a guarded id among the reads keeps the choice as it is."""
-    base = chosen.where(F.col("field") == "sponsor_id").where(F.col("value").rlike(vocab.SPONSOR_ID)).select("case_id", F.col("value").alias("chosen"))
-    near = candidates.where("field = 'sponsor_id'").where(F.col("value").rlike(vocab.SPONSOR_ID)).join(base, "case_id").where(X.hamming(F.col("value"), F.col("chosen")) <= 2)
-    votes = near.select("case_id", "chosen", F.col("value").isin(guarded).alias("guard"), F.posexplode(F.split(F.substring("value", 5, 4), "")).alias("at", "digit"))
-    counts = votes.groupBy("case_id", "chosen", "at", "digit").agg(F.count(F.lit(1)).alias("n"), F.bool_or("guard").alias("guard"))
-    best = counts.groupBy("case_id", "chosen", "at").agg(F.max("n").alias("n"), F.max_by("digit", F.struct("n", "digit")).alias("digit"), F.collect_list("n").alias("all"), F.bool_or("guard").alias("guard"))
-    kept = F.substring(F.col("chosen"), F.col("at") + 5, F.lit(1))
-    digit = F.when(F.size(F.filter("all", lambda x: x == F.col("n"))) > 1, kept).otherwise(F.col("digit"))
-    joined = best.groupBy("case_id", "chosen").agg(F.array_sort(F.collect_list(F.struct("at", digit.alias("d")))).alias("ds"), F.bool_or("guard").alias("guard"))
-    voted = F.concat(F.lit("SPN-"), F.array_join(F.transform("ds", lambda x: x["d"]), ""))
-    return joined.select("case_id", "chosen", F.when(F.col("guard"), F.col("chosen")).otherwise(voted).alias("voted"))
+    """Candidates without the arrival dates that aren't on the calendar, and without implausible ones that have a
+    plausible twin: the same month and day in another year, 180 days back to 30 ahead of the receipt epoch. Other
+    fields pass; ``plausible`` is null for them. One window, by case and more, serves all fields."""
+    dated = F.col("field") == "arrival_date"
+    day = F.when(dated, X.real_date(F.col("value")))
+    plausible = F.datediff(F.lit(config.receipt_epoch), day).between(-config.future_days, config.stale_days)
+    twins = Window.partitionBy("case_id", "field", F.when(dated, F.substring("value", 6, 5)))
+    rows = candidates.withColumn("plausible", plausible).withColumn("_twin", F.max("plausible").over(twins))
+    return rows.where(~dated | (F.col("plausible") | ~F.col("_twin"))).drop("_twin")
+
+
+def _voted_digit(at: int) -> Column:
+    """The digit at a place of ``chosen`` that most of the reads ``near`` have; its own at ties."""
+    zero = F.lit(0).cast("long")
+    votes = F.transform(F.split(F.lit("0123456789"), ""), lambda d: F.struct(F.aggregate("near", zero, lambda a, x: a + F.when(F.substring(x["value"], at, 1) == d, x["n"]).otherwise(0)).alias("n"), d.alias("d")))
+    top = F.array_max(F.transform(votes, lambda v: v["n"]))
+    best = F.filter(votes, lambda v: v["n"] == top)
+    return F.when(F.size(best) > 1, F.substring("chosen", at, 1)).otherwise(best[0]["d"])
+
+
+def digit_vote(chosen: DataFrame, guarded: list[str] = vocab.REVOKED_SPONSORS) -> DataFrame:
+    """case_id, chosen, voted: the chosen sponsor id voted digit by digit among the reads within two digits of it; a tie
+    keeps the chosen digit, and a guarded id among the reads keeps the choice as it is. A case's distinct reads are a
+    short list, so the vote is a fold over it, without a join."""
+    base = chosen.where((F.col("field") == "sponsor_id") & F.col("value").rlike(vocab.SPONSOR_ID))
+    near = F.filter("reads", lambda x: X.hamming(x["value"], F.col("value")) <= 2)
+    rows = base.select("case_id", F.col("value").alias("chosen"), near.alias("near"))
+    digits = [_voted_digit(at) for at in range(5, 9)]
+    held = F.exists("near", lambda x: x["value"].isin(guarded))
+    return rows.select("case_id", "chosen", F.when(held, F.col("chosen")).otherwise(F.concat(F.lit("SPN-"), *digits)).alias("voted"))
 
 
 def notes_merged(notes: DataFrame) -> DataFrame:
     """One row per case from its note pages: the finding of the least rank (first at ties), the last confidence and
-    waiver code, absent fields in order, watermarked pages counted, embargo if any, mined sponsors in order."""
+    waiver code, absent fields in order, watermarked pages counted, embargo if any, conflict (pages of rank one that differ), mined sponsors in order."""
     seen = lambda c: F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("page", c)))), lambda x: x[c]))
     return notes.groupBy("case_id").agg(
         F.min_by("finding", F.when(F.col("finding").isNotNull(), F.struct("rank", "page"))).alias("finding"),
@@ -142,5 +152,6 @@ def notes_merged(notes: DataFrame) -> DataFrame:
         seen("absent_field").alias("absent_fields"),
         F.count_if(F.col("watermark")).alias("watermark_pages"),
         F.bool_or("registry_embargo").alias("registry_embargo"),
+        (F.size(F.collect_set(F.when(F.col("rank") == 1, F.col("finding")))) > 1).alias("conflict"),
         F.transform(F.array_sort(F.collect_list(F.when(F.col("mined_sponsor").isNotNull(), F.struct("page", "mined_sponsor")))), lambda x: x["mined_sponsor"]).alias("mined_sponsors"),
     )

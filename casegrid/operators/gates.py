@@ -39,22 +39,16 @@ def corrections(lines: DataFrame) -> DataFrame:
     return found.groupBy("case_id", F.col("c.field").alias("field")).agg(F.min_by("c.value", F.struct("page", "line_no")).alias("value"))
 
 
-def conflicts(notes: DataFrame) -> DataFrame:
-    """case_id, conflict: whether the pages of rank one give more than one finding."""
-    return notes.where("rank = 1 and finding is not null").groupBy("case_id").agg((F.size(F.collect_set("finding")) > 1).alias("conflict"))
-
-
 def state(candidates: DataFrame, cases: DataFrame, notes: DataFrame, struck: DataFrame, lines: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
     """One row per case with everything the program reads: emitted fields, what was read, notes, strikes."""
-    alive = evidence.by_case(strikes.surviving(candidates, struck))
-    dated = evidence.date_twins(alive, config).drop("plausible")
-    pool = alive.where("field <> 'arrival_date'").unionByName(dated)
+    marked = strikes.with_strikes(evidence.by_case(candidates), struck)
+    pool = evidence.date_twins(marked.where("not struck and not tainted"), config)
     chosen = evidence.selected(pool, config)
-    voted = evidence.digit_vote(pool, chosen).select("case_id", "voted")
+    voted = evidence.digit_vote(chosen).select("case_id", "voted")
     signed = corrections(lines).groupBy("case_id").agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f"s_{f}") for f in vocab.FIELDS])
-    blocked = strikes.blocked_fields(candidates, struck).withColumnRenamed("fields", "blocked")
+    blocked = strikes.blocked_fields(marked).withColumnRenamed("fields", "blocked")
     all_ = cases.select("case_id", "receipt_date")
-    for part in (wide(chosen), voted, signed, evidence.notes_merged(notes), conflicts(notes), blocked):
+    for part in (wide(chosen), voted, signed, evidence.notes_merged(notes), blocked):
         all_ = all_.join(part, "case_id", "left")
     read = {f: F.col(f"e_{f}").isNotNull() | F.col(f"s_{f}").isNotNull() for f in vocab.FIELDS}
     own = {f: F.coalesce(F.col(f"s_{f}"), F.col("voted") if f == "sponsor_id" else F.col(f"e_{f}.value"), F.col(f"e_{f}.value"), F.lit(v)) for f, v in vocab.FALLBACKS.items()}

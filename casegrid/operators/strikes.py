@@ -10,32 +10,30 @@ from ..functions import text as X
 
 
 def struck_sets(struck: DataFrame) -> DataFrame:
-    """case_id, all_tokens, global_tokens: what is struck in a case, and what is struck wherever it stands."""
+    """case_id, everywhere, aliases: what is struck in a case wherever it stands, and all that is struck in it without
+    white space and stops. A case's marks are few."""
     token = F.lower("token")
-    return struck.groupBy("case_id").agg(F.array_sort(F.collect_set(token)).alias("all_tokens"), F.array_sort(F.collect_set(F.when(F.col("scope") == "global", token))).alias("global_tokens"))
+    return struck.groupBy("case_id").agg(F.array_sort(F.collect_set(F.when(F.col("scope") == "global", token))).alias("everywhere"), F.array_sort(F.collect_set(X.compact(F.col("token")))).alias("aliases"))
 
 
 def with_strikes(candidates: DataFrame, struck: DataFrame) -> DataFrame:
-    """Candidates with ``struck``: their value, or one of its tokens, is struck everywhere in the case."""
+    """Candidates with ``struck`` (their value, or one of its tokens, is struck everywhere in the case) and ``tainted``
+    (their value is an alias of a struck one: equal but for white space and stops)."""
     words = F.array_append(X.tokens(F.col("value")), F.lower("value"))
-    joined = candidates.join(struck_sets(struck).select("case_id", "global_tokens"), "case_id", "left")
-    return joined.withColumn("struck", F.coalesce(F.arrays_overlap(words, "global_tokens"), F.lit(False))).drop("global_tokens")
+    joined = candidates.join(struck_sets(struck), "case_id", "left")
+    hit = F.coalesce(F.arrays_overlap(words, "everywhere"), F.lit(False))
+    alias = F.coalesce((F.col("value") != "") & F.array_contains("aliases", X.compact(F.col("value"))), F.lit(False))
+    return joined.withColumn("struck", hit).withColumn("tainted", alias).drop("everywhere", "aliases")
 
 
 def taints(candidates: DataFrame, struck: DataFrame) -> DataFrame:
-    """case_id, field, value (lower case): values that fall with a struck one, since they are an alias of it: equal to
-    it but for white space and stops, in any field of the case."""
-    token = struck.select("case_id", X.compact(F.col("token")).alias("k")).distinct()
-    own = candidates.select("case_id", "field", F.lower("value").alias("value")).where("value <> ''").distinct()
-    return own.withColumn("k", X.compact(F.col("value"))).join(token, ["case_id", "k"], "left_semi").select("case_id", "field", "value")
+    """case_id, field, value (lower case): the values that fall with a struck one."""
+    return with_strikes(candidates, struck).where("tainted").select("case_id", "field", F.lower("value").alias("value")).distinct()
 
 
 def surviving(candidates: DataFrame, struck: DataFrame) -> DataFrame:
     """Candidates that are neither struck nor tainted; a pool that loses all of its candidates is unread."""
-    left = with_strikes(candidates, struck).where("not struck").drop("struck")
-    bad = taints(candidates, struck).select("case_id", "field", F.col("value").alias("tainted"))
-    same = (F.lower(left["value"]) == bad["tainted"]) & (left["case_id"] == bad["case_id"]) & (left["field"] == bad["field"])
-    return left.join(bad, same, "left_anti")
+    return with_strikes(candidates, struck).where("not struck and not tainted").drop("struck", "tainted")
 
 
 def approval_blocking(field: str, value: str):
@@ -52,7 +50,8 @@ def approval_blocking(field: str, value: str):
     )
 
 
-def blocked_fields(candidates: DataFrame, struck: DataFrame) -> DataFrame:
-    """case_id, fields: fields of which a struck candidate would stand against an approval, sorted."""
-    down = with_strikes(candidates, struck).where("struck").where(approval_blocking("field", "value"))
+def blocked_fields(marked: DataFrame) -> DataFrame:
+    """case_id, fields: fields of which a struck candidate would stand against an approval, sorted; from candidates with
+    strikes."""
+    down = marked.where("struck").where(approval_blocking("field", "value"))
     return down.groupBy("case_id").agg(F.array_sort(F.collect_set("field")).alias("fields"))

@@ -159,7 +159,7 @@ QUERIES = {
     "strike_filter": (lambda s, d: S.surviving(frame(s, d, "candidates"), frame(s, d, "struck")).select("case_id", "field", "ord", "value"), oracle(("candidates", "struck"), f"with {STRIKES} select case_id, field, ord, value from alive")),
     "alias_taints": (lambda s, d: S.taints(frame(s, d, "candidates"), frame(s, d, "struck")), oracle(("candidates", "struck"), f"with {STRIKES} select * from taints")),
     "strike_block_fields": (
-        lambda s, d: S.blocked_fields(frame(s, d, "candidates"), frame(s, d, "struck")).select("case_id", F.array_join("fields", ",").alias("fields")),
+        lambda s, d: S.blocked_fields(S.with_strikes(frame(s, d, "candidates"), frame(s, d, "struck"))).select("case_id", F.array_join("fields", ",").alias("fields")),
         oracle(("candidates", "struck"), f"with {STRIKES} select case_id, array_to_string(list_sort(list(distinct field)), ',') as fields from marked where struck and {blocking('field', 'value')} group by case_id"),
     ),
     "policy_adjudicate": (

@@ -65,14 +65,14 @@ QUERIES = {
     "agreement_count": (lambda s, d: _selected(s, d).groupBy("field", "agreement").agg(F.count(F.lit(1)).alias("n")), chosen_sql("select field, agreement, count(*) as n from chosen group by all")),
     "support_confidence": (lambda s, d: _selected(s, d).select("case_id", "field", "support", "score"), chosen_sql("select case_id, field, support, score from chosen")),
     "date_twin_arbitration": (
-        lambda s, d: E.date_twins(_candidates(s, d)).select("case_id", "value", "source", "ord", "plausible"),
+        lambda s, d: E.date_twins(_candidates(s, d).where("field = 'arrival_date'")).select("case_id", "value", "source", "ord", "plausible"),
         oracle(("candidates",), """with d as (select case_id, value, source, ord, date_diff('day', try_cast(value as date), date '2026-07-07') between -30 and 180 as plausible, substr(value, 6, 5) as mmdd
           from candidates where field = 'arrival_date' and regexp_full_match(value, '\\d{4}-\\d{2}-\\d{2}') and try_cast(value as date) is not null),
           t as (select case_id, mmdd, bool_or(plausible) as twin from d group by all)
           select d.case_id, value, source, ord, plausible from d join t on t.case_id = d.case_id and t.mmdd = d.mmdd where plausible or not twin"""),
     ),
     "digit_vote": (
-        lambda s, d: E.digit_vote(_candidates(s, d), _selected(s, d)),
+        lambda s, d: E.digit_vote(_selected(s, d)),
         chosen_sql(f"""select case_id, chosen, case when bool_or(guard) then chosen else concat('SPN-', string_agg(digit, '' order by pos)) end as voted from (
           select case_id, chosen, pos, bool_or(g) as guard, case when sum(case when n = top then 1 else 0 end) > 1 then substr(chosen, 5 + pos, 1) else max(case when n = top then digit end) end as digit from (
           select *, max(n) over (partition by case_id, pos) as top from (
