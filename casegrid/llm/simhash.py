@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def forest(values: np.ndarray) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the links among distinct fingerprints: breadth first over those not yet reached,
     so a group of mutual copies takes one comparison each."""
-    rest, edges = values, []
+    rest, edges = values.astype(np.int64).view(np.uint64), []  # unsigned: numpy counts the bits of absolute values
     while len(rest) > 1:
         front, rest = [rest[0]], rest[1:]
         while front and len(rest):
@@ -84,7 +84,7 @@ def forest(values: np.ndarray) -> list[tuple[int, int]]:
             near = np.bitwise_count(rest ^ at) <= RADIUS
             if near.any():
                 found = rest[near]
-                edges += [(int(at), int(x)) for x in found]
+                edges += [(_signed(int(at)), _signed(int(x))) for x in found]
                 front.extend(found)
                 rest = rest[~near]
     return edges

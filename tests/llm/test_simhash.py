@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import xxhash
 
 from casegrid.llm import simhash
@@ -65,6 +66,18 @@ def test_against_brute_force(spark):
         assert got == {i: (prints[i], want[i]) for i in prints}
 
 
+def test_forest_counts_the_sign_bit_like_any_other():
+    r = np.random.default_rng(3)
+    for _ in range(50):
+        base = int(r.integers(0, 2**63)) * 2
+        values = {base ^ sum(1 << int(b) for b in r.choice(64, int(r.integers(0, 5)), replace=False)) for _ in range(12)} | {base ^ (1 << 63)}
+        signed = [v - 2**64 if v >= 2**63 else v for v in values]
+        parts = simhash.forest(np.array(signed, np.int64))
+        want = brute_components({s: v for s, v in zip(signed, values, strict=True)})
+        assert len(parts) == len(values) - len(set(want.values()))
+        assert all(((u ^ v) % 2**64).bit_count() <= 4 for u, v in parts)
+
+
 def test_crowded_buckets_keep_every_link(spark):
     """Fingerprints of a chain and of a crowd: equal in most bits, so that they share buckets."""
     r = random.Random(9)
