@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import deciding, reading, selection
+from .plans import auditing, deciding, extras, fusing, reading, selection, streamed
 
-MODULES = (selection, reading, deciding)
+MODULES = (selection, reading, deciding, fusing, auditing, extras, streamed)
 
 
 def entry(spark: SparkSession) -> DataFrame:
