@@ -76,7 +76,7 @@ def confidence(rows: DataFrame, buckets: DataFrame, config: EngineConfig = DEFAU
 
 def fitted(rows: DataFrame, label: str, folds: int = 5) -> DataFrame:
     """One row per fold with the Brier score of a logistic model, isotonically calibrated, on the fold kept out; rows
-    have FEATURES, the 0/1 label and a fold number."""
+    have FEATURES, the 0/1 label and a fold number, and should be materialized, as each fit reads them many times."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import StandardScaler, VectorAssembler
     from pyspark.ml.functions import vector_to_array

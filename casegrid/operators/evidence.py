@@ -111,34 +111,46 @@ def winners(candidates: DataFrame) -> DataFrame:
 def date_twins(candidates: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
     """Candidates without the arrival dates that aren't on the calendar, and without implausible ones that have a
     plausible twin: the same month and day in another year, 180 days back to 30 ahead of the receipt epoch. Other
-    fields pass; ``plausible`` is null for them. One window, by case and more, serves all fields."""
-    dated = F.col("field") == "arrival_date"
-    day = F.when(dated, X.real_date(F.col("value")))
-    plausible = F.datediff(F.lit(config.receipt_epoch), day).between(-config.future_days, config.stale_days)
-    twins = Window.partitionBy("case_id", "field", F.when(dated, F.substring("value", 6, 5)))
-    rows = candidates.withColumn("plausible", plausible).withColumn("_twin", F.max("plausible").over(twins))
-    return rows.where(~dated | (F.col("plausible") | ~F.col("_twin"))).drop("_twin")
+    fields pass; ``plausible`` is null for them. Only the dates go through the window."""
+    dates, rest = candidates.where("field = 'arrival_date'"), candidates.where("field <> 'arrival_date'")
+    twins = Window.partitionBy("case_id", F.substring("value", 6, 5))
+    age = F.datediff(F.lit(config.receipt_epoch), F.col("_day"))
+    rows = dates.withColumn("_day", X.real_date(F.col("value"))).where("_day is not null").withColumn("plausible", age.between(-config.future_days, config.stale_days))
+    rows = rows.withColumn("_twin", F.max("plausible").over(twins)).where("plausible or not _twin").drop("_day", "_twin")
+    return rest.withColumn("plausible", F.lit(None).cast("boolean")).unionByName(rows)
 
 
-def _voted_digit(at: int) -> Column:
-    """The digit at a place of ``chosen`` that most of the reads ``near`` have; its own at ties."""
+def _votes(at: int) -> Column:
+    """(n, digit) of the digits that the reads ``near`` have at a place."""
     zero = F.lit(0).cast("long")
-    votes = F.transform(F.split(F.lit("0123456789"), ""), lambda d: F.struct(F.aggregate("near", zero, lambda a, x: a + F.when(F.substring(x["value"], at, 1) == d, x["n"]).otherwise(0)).alias("n"), d.alias("d")))
-    top = F.array_max(F.transform(votes, lambda v: v["n"]))
-    best = F.filter(votes, lambda v: v["n"] == top)
-    return F.when(F.size(best) > 1, F.substring("chosen", at, 1)).otherwise(best[0]["d"])
+    digits = F.array_distinct(F.transform("near", lambda x: F.substring(x["value"], at, 1)))
+    return F.transform(digits, lambda d: F.struct(F.aggregate("near", zero, lambda a, x: a + F.when(F.substring(x["value"], at, 1) == d, x["n"]).otherwise(0)).alias("n"), d.alias("d")))
+
+
+def _at_most(votes: str, top: str) -> Column:
+    return F.filter(votes, lambda v: v["n"] == F.col(top))
 
 
 def digit_vote(chosen: DataFrame, guarded: list[str] = vocab.REVOKED_SPONSORS) -> DataFrame:
     """case_id, chosen, voted: the chosen sponsor id voted digit by digit among the reads within two digits of it; a tie
     keeps the chosen digit, and a guarded id among the reads keeps the choice as it is. A case's distinct reads are a
     short list, so the vote is a fold over it, without a join."""
-    base = chosen.where((F.col("field") == "sponsor_id") & F.col("value").rlike(vocab.SPONSOR_ID))
-    near = F.filter("reads", lambda x: X.hamming(x["value"], F.col("value")) <= 2)
-    rows = base.select("case_id", F.col("value").alias("chosen"), near.alias("near"))
-    digits = [_voted_digit(at) for at in range(5, 9)]
+    base = chosen.where((F.col("field") == "sponsor_id") & F.col("value").rlike(vocab.SPONSOR_ID)).select("case_id", F.col("value").alias("chosen"), "reads")
+    return with_vote(base, guarded).select("case_id", "chosen", "voted")
+
+
+def with_vote(rows: DataFrame, guarded: list[str] = vocab.REVOKED_SPONSORS) -> DataFrame:
+    """rows (chosen, reads) with voted; null unless the chosen id is well formed."""
+    near = F.when(F.col("chosen").rlike(vocab.SPONSOR_ID), F.filter("reads", lambda x: X.hamming(x["value"], F.col("chosen")) <= 2))
+    places = range(5, 9)
+    # each step has its own columns, so that none is evaluated again for every use in the next
+    rows = rows.withColumn("near", near).withColumns({f"_v{at}": _votes(at) for at in places})
+    rows = rows.withColumns({f"_t{at}": F.array_max(F.transform(f"_v{at}", lambda v: v["n"])) for at in places})
+    rows = rows.withColumns({f"_b{at}": _at_most(f"_v{at}", f"_t{at}") for at in places})
+    digits = [F.when(F.size(f"_b{at}") > 1, F.substring("chosen", at, 1)).otherwise(F.try_element_at(f"_b{at}", F.lit(1))["d"]) for at in places]
     held = F.exists("near", lambda x: x["value"].isin(guarded))
-    return rows.select("case_id", "chosen", F.when(held, F.col("chosen")).otherwise(F.concat(F.lit("SPN-"), *digits)).alias("voted"))
+    voted = F.when(F.col("near").isNull(), None).when(held, F.col("chosen")).otherwise(F.concat(F.lit("SPN-"), *digits))
+    return rows.withColumn("voted", voted).drop("near", *[f"_{k}{at}" for k in "vtb" for at in places])
 
 
 def notes_merged(notes: DataFrame) -> DataFrame:

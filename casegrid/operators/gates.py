@@ -28,27 +28,31 @@ class Step:
 
 
 def wide(chosen: DataFrame) -> DataFrame:
-    """One row per case with a struct for each field: value, source, rank, score, agreement; null where it is unread."""
-    row = F.struct("value", "source", "rank", "score", "agreement")
-    return chosen.groupBy("case_id").agg(*[F.max(F.when(F.col("field") == f, row)).alias(f"e_{f}") for f in vocab.FIELDS])
+    """One row per case with a struct for each field (value, source, rank, score, agreement; null where it is unread),
+    and the voted sponsor id."""
+    # one struct per row: nine conditional aggregates would evaluate the selection's expressions nine times
+    entry = F.struct("field", F.struct("value", "source", "rank", "score", "agreement", "reads"))
+    rows = chosen.groupBy("case_id").agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
+    rows = rows.select("case_id", *[F.try_element_at("m", F.lit(f)).alias(f"e_{f}") for f in vocab.FIELDS])
+    rows = rows.withColumn("chosen", F.col("e_sponsor_id.value")).withColumn("reads", F.col("e_sponsor_id.reads"))
+    return evidence.with_vote(rows).drop("chosen", "reads")
 
 
 def corrections(lines: DataFrame) -> DataFrame:
     """case_id, field, value: the first manual correction of each field."""
-    found = lines.withColumn("c", X.correction(F.col("text"))).where("c is not null")
+    found = lines.where(F.col("text").ilike("manual correction:%")).withColumn("c", X.correction(F.col("text"))).where("c is not null")
     return found.groupBy("case_id", F.col("c.field").alias("field")).agg(F.min_by("c.value", F.struct("page", "line_no")).alias("value"))
 
 
 def state(candidates: DataFrame, cases: DataFrame, notes: DataFrame, struck: DataFrame, lines: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
     """One row per case with everything the program reads: emitted fields, what was read, notes, strikes."""
-    marked = strikes.with_strikes(evidence.by_case(candidates), struck)
+    marked = strikes.with_strikes(candidates, struck)
     pool = evidence.date_twins(marked.where("not struck and not tainted"), config)
-    chosen = evidence.selected(pool, config)
-    voted = evidence.digit_vote(chosen).select("case_id", "voted")
+    chosen = evidence.selected(evidence.by_case(pool), config)
     signed = corrections(lines).groupBy("case_id").agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f"s_{f}") for f in vocab.FIELDS])
     blocked = strikes.blocked_fields(marked).withColumnRenamed("fields", "blocked")
     all_ = cases.select("case_id", "receipt_date")
-    for part in (wide(chosen), voted, signed, evidence.notes_merged(notes), blocked):
+    for part in (wide(chosen), signed, evidence.notes_merged(notes), blocked):
         all_ = all_.join(part, "case_id", "left")
     read = {f: F.col(f"e_{f}").isNotNull() | F.col(f"s_{f}").isNotNull() for f in vocab.FIELDS}
     own = {f: F.coalesce(F.col(f"s_{f}"), F.col("voted") if f == "sponsor_id" else F.col(f"e_{f}.value"), F.col(f"e_{f}.value"), F.lit(v)) for f, v in vocab.FALLBACKS.items()}

@@ -21,8 +21,9 @@ def with_strikes(candidates: DataFrame, struck: DataFrame) -> DataFrame:
     (their value is an alias of a struck one: equal but for white space and stops)."""
     words = F.array_append(X.tokens(F.col("value")), F.lower("value"))
     joined = candidates.join(struck_sets(struck), "case_id", "left")
-    hit = F.coalesce(F.arrays_overlap(words, "everywhere"), F.lit(False))
-    alias = F.coalesce((F.col("value") != "") & F.array_contains("aliases", X.compact(F.col("value"))), F.lit(False))
+    # most cases have no marks; their values aren't cut into tokens
+    hit = F.when(F.size("everywhere") > 0, F.coalesce(F.arrays_overlap(words, "everywhere"), F.lit(False))).otherwise(False)
+    alias = F.when(F.size("aliases") > 0, (F.col("value") != "") & F.array_contains("aliases", X.compact(F.col("value")))).otherwise(False)
     return joined.withColumn("struck", hit).withColumn("tainted", alias).drop("everywhere", "aliases")
 
 

@@ -149,5 +149,5 @@ QUERIES = {
         oracle((*INPUTS, "truth"), f"with {DECIDE}, r0 as (select path, case when decision = adjudication then 1e0 else 0e0 end as ok from decided join truth using (case_id)), o0 as (select avg(ok) as o from r0) select path, count(*) as n, least(0.98e0, greatest(0.02e0, (sum(ok) + 10 * max(o)) / (count(*) + 10))) as accuracy from r0 cross join o0 group by path"),
     ),
     "reason_buckets": (lambda s, d: C.reason_buckets(decisions(s, d), frame(s, d, "truth")), oracle((*INPUTS, "truth"), f"with {DECIDE}, {BUCKETS} select *, accuracy >= 0.93 or accuracy <= 0.07 as decisive from rb")),
-    "calibrator_fit": (lambda s, d: C.fitted(calibration_rows(s, d), "right"), None),
+    "calibrator_fit": (lambda s, d: C.fitted(materialized(calibration_rows(s, d)), "right"), None),
 }

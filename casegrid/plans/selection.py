@@ -65,7 +65,7 @@ QUERIES = {
     "agreement_count": (lambda s, d: _selected(s, d).groupBy("field", "agreement").agg(F.count(F.lit(1)).alias("n")), chosen_sql("select field, agreement, count(*) as n from chosen group by all")),
     "support_confidence": (lambda s, d: _selected(s, d).select("case_id", "field", "support", "score"), chosen_sql("select case_id, field, support, score from chosen")),
     "date_twin_arbitration": (
-        lambda s, d: E.date_twins(_candidates(s, d).where("field = 'arrival_date'")).select("case_id", "value", "source", "ord", "plausible"),
+        lambda s, d: E.date_twins(frame(s, d, "candidates")).where("field = 'arrival_date'").select("case_id", "value", "source", "ord", "plausible"),
         oracle(("candidates",), """with d as (select case_id, value, source, ord, date_diff('day', try_cast(value as date), date '2026-07-07') between -30 and 180 as plausible, substr(value, 6, 5) as mmdd
           from candidates where field = 'arrival_date' and regexp_full_match(value, '\\d{4}-\\d{2}-\\d{2}') and try_cast(value as date) is not null),
           t as (select case_id, mmdd, bool_or(plausible) as twin from d group by all)
