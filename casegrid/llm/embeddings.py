@@ -161,7 +161,7 @@ def _block_links(tasks: DataFrame) -> DataFrame:
         if held and (out := solve(held)) is not None:
             yield out
 
-    dealt = tasks.select(*keys, "base", "rep", "n", "vector").repartition(*keys).sortWithinPartitions(*keys)
+    dealt = tasks.select(*keys, "base", "rep", "n", "vector").repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys)
     return dealt.mapInArrow(run, FOUND)
 
 

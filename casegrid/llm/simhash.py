@@ -98,6 +98,7 @@ def _bucket_edges(members: DataFrame) -> DataFrame:
     arrow = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.forget()
         held: list[np.ndarray] = []
         last = None
         out: list[tuple[int, int]] = []
@@ -120,7 +121,9 @@ def _bucket_edges(members: DataFrame) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], schema=arrow)
 
-    return members.repartition("t", "key").sortWithinPartitions("t", "key").mapInArrow(run, EDGES)
+    # dealt by a hash of the keys, not by the keys: a plan that has these rows by (t, key) already, for a join, would drop
+    # the exchange, and adaptive execution could then read that join's input in other pieces and part a bucket
+    return members.repartition(F.xxhash64("t", "key")).sortWithinPartitions("t", "key").mapInArrow(run, EDGES)
 
 
 def _dealt(fps: DataFrame, tables: list[tuple[int, int]]) -> DataFrame:

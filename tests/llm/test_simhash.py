@@ -93,6 +93,29 @@ def test_crowded_buckets_keep_every_link(spark):
         assert {v: roots.get(v, v) for v in values} == want
 
 
+def test_buckets_are_never_parted_by_an_adaptive_join(spark):
+    """A join by the same keys is first planned as a sort-merge join and then, at run time, as a broadcast join that reads
+    its input as it lies; the buckets still come whole."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(4)
+    rows = [(t, k, k * 1000 + i) for t in (1, 2) for k in range(60) for i in r.sample(range(16), 5)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        left = spark.createDataFrame(rows, "t int, key long, fp long").repartition(7)
+        right = left.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"))
+        many = left.join(right, ["t", "key"]).select("t", "key", "fp")
+        edges = simhash._bucket_edges(many)
+        assert "REPARTITION_BY_COL" in edges._jdf.queryExecution().executedPlan().toString()
+        got = edges.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    buckets = {}
+    for t, k, fp in rows:
+        buckets.setdefault((t, k), []).append(fp)
+    assert got == sum(len(simhash.forest(np.array(v))) for v in buckets.values())
+
+
 def test_one_document_of_each_group_stays(spark):
     rows = near_rows()
     want = brute_components({i: brute_fingerprint(x) for i, x in rows})
