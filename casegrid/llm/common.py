@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 from collections.abc import Callable, Iterator
@@ -48,11 +49,31 @@ def held_out(doc_id: str, modulus: int, rest: int) -> Column:
     return F.coalesce(remainder(doc_id, modulus) == rest, F.lit(False))
 
 
-def with_arrow(df: DataFrame, fields: list[T.StructField], make: Callable[[], Callable[[pa.RecordBatch], list]], keep: list[str] | None = None) -> DataFrame:
+#: What a Python worker keeps from one task to the next: one object, a table of words or of tokens.
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]):
+    """The worker's object of that name, made if it holds another or none."""
+    if name not in _kept:
+        forget()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def forget() -> None:
+    """Free what the worker keeps, as another operator's tasks need the memory."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+
+
+def with_arrow(df: DataFrame, fields: list[T.StructField], make: Callable[[], Callable[[pa.RecordBatch], list]], keep: list[str] | None = None, keeps: bool = False) -> DataFrame:
     """df, narrowed to the columns ``keep``, with columns computed batch by batch in Python.
 
     ``make()`` runs once in each task and gives a function from a batch to one array or list per field. An input
-    column that has the name of a new one gives way to it.
+    column that has the name of a new one gives way to it. ``keeps``: whether the tasks use what the worker keeps;
+    else it is freed.
     """
     new = {f.name for f in fields}
     held = [c for c in (df.columns if keep is None else keep) if c not in new]
@@ -61,6 +82,8 @@ def with_arrow(df: DataFrame, fields: list[T.StructField], make: Callable[[], Ca
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget()
         compute = None
         for batch in batches:
             compute = compute or make()
@@ -74,7 +97,7 @@ def with_arrow(df: DataFrame, fields: list[T.StructField], make: Callable[[], Ca
     return df.mapInArrow(run, schema)
 
 
-def pieces(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``most`` bytes (one row at least), which bounds what Python holds of it."""
     n = batch.num_rows
     step = n if batch.nbytes <= most else max(1, int(n * most / batch.nbytes))

@@ -147,4 +147,4 @@ def predicted(docs: DataFrame, model: Tagger, keep: list[str], text: str = "text
 
         return compute
 
-    return common.with_arrow(source, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], make, keep=keep)
+    return common.with_arrow(source, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], make, keep=keep, keeps=True)

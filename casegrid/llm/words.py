@@ -7,6 +7,8 @@ from itertools import repeat
 
 import numpy as np
 
+from .common import kept
+
 
 class WordTable:
     """rows[i] belongs to the word that ``find`` gave i; ``compute`` gives the rows of new words. Row 0 is zero. A table
@@ -39,12 +41,6 @@ class WordTable:
         return ids
 
 
-_kept: dict[str, WordTable] = {}
-
-
 def kept_table(name: str, compute: Callable[[list[str]], np.ndarray], width: int, most: int = 150_000) -> WordTable:
-    """The worker's table of that name (a digest of the model is part of it); one table is kept at a time."""
-    if name not in _kept:
-        _kept.clear()
-        _kept[name] = WordTable(compute, width, most)
-    return _kept[name]
+    """The worker's table of that name (a digest of the model is part of it)."""
+    return kept(name, lambda: WordTable(compute, width, most))
