@@ -9,6 +9,7 @@ often as its lengths last. Each piece then finds its place from its rank among t
 from __future__ import annotations
 
 import os
+import string
 import unicodedata
 import zlib
 from collections import Counter
@@ -23,17 +24,17 @@ from pyspark.sql import types as T
 from . import common
 
 CAPACITY, END_ID = 4096, 1
-MOST_CHUNKS, MOST_WORDS = 300_000, 400_000
-_tokenizers: dict[str, "ChunkIds"] = {}
+MARKS = string.punctuation
+MOST_CHUNKS, MOST_WORDS, MOST_TAILS = 300_000, 450_000, 20_000
 
 
 class ChunkIds:
     """Token ids of texts, by way of the chunks between blanks and line feeds.
 
     The tokenizer drops white space and no token spans it, so a text's ids are those of its chunks in order. It also
-    lower-cases, and parts a stop or comma from the letter before it; so chunks are taken in lower case where that can't
-    matter, and share the ids of their words. New words of letters alone are encoded many at a time, as one line: each ends where a word-end token does.
-    Up to MOST_CHUNKS chunks and MOST_WORDS words are kept.
+    lower-cases, and parts marks from the letter before them; so chunks are taken in lower case where that can't
+    matter, and share the ids of their words. New words of letters alone are encoded many at a time, as one line: each
+    ends where a word-end token does. Up to MOST_CHUNKS chunks, MOST_WORDS words and MOST_TAILS runs of marks are kept.
     """
 
     def __init__(self, path: str):
@@ -46,13 +47,11 @@ class ChunkIds:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
-        self.marks = {x: self._each([x])[0] for x in ".,"}
+        self.tails: dict[str, bytes] = {"": b""}
 
     @classmethod
     def of(cls, path: str) -> ChunkIds:
-        if path not in _tokenizers:
-            _tokenizers[path] = cls(path)
-        return _tokenizers[path]
+        return common.kept(f"tokens of {path}", lambda: cls(path))
 
     def _each(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -64,16 +63,20 @@ class ChunkIds:
         return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)] if len(cuts) == len(words) else self._each(words)
 
     def _learn(self, new: set[str]) -> None:
-        marks = self.marks
-        parted = [(c, c[:-1], marks[c[-1]]) if c[-1] in marks and c[-2:-1].isalpha() and c[-2] != "İ" else (c, c, b"") for c in new]
+        parted = []
+        for c in new:
+            word = c.rstrip(MARKS)
+            parted.append((c, word, c[len(word) :]) if word[-1:].isalpha() and word[-1] != "İ" and "<|" not in c else (c, c, ""))
+        tails = list({t for _, _, t in parted}.difference(self.tails))
+        self.tails.update(zip(tails, self._each(tails), strict=True))
         missing = list({w for _, w, _ in parted}.difference(self.words))
         plain, other = [w for w in missing if w.isalpha()], [w for w in missing if not w.isalpha()]
         for words, encode, step in ((plain, self._line, 2000), (other, self._each, 5000)):
             for k in range(0, len(words), step):
                 part = words[k : k + step]
                 self.words.update(zip(part, encode(part), strict=True))
-        words = self.words
-        self.chunks.update((c, words[w] + tail) for c, w, tail in parted)
+        words, ends = self.words, self.tails
+        self.chunks.update((c, words[w] + ends[t]) for c, w, t in parted)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers, the end id last."""
@@ -81,6 +84,8 @@ class ChunkIds:
             self.chunks = {"": b""}
         if len(self.words) > MOST_WORDS:
             self.words = {}
+        if len(self.tails) > MOST_TAILS:
+            self.tails = {"": b""}
         split = [(t.lower() if lowers_alike(t) else t).replace("\n", " ").split(" ") for t in texts]
         if new := set().union(*split).difference(self.chunks):
             self._learn(new)
