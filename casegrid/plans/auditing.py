@@ -164,7 +164,7 @@ QUERIES = {
         oracle(("candidates", "native"), "select a.field, count(*) as n, count(*) filter (where a.value <> b.value) as changed from candidates a join native b on b.case_id = a.case_id and b.field = a.field and b.ord = a.ord group by all"),
     ),
     "state_merge_backfill": (
-        lambda s, d: V.backfilled(frame(s, d, "cases").select("case_id", "case_no").where("case_no < 200"), V.first_wins(frame(s, d, "attempts"), ["case_no"], ["event_id"]).select("case_no", "status", "error"), "case_no").select("case_id", "status", "error"),
+        lambda s, d: V.backfilled(frame(s, d, "cases").select("case_id", "case_no"), V.first_wins(frame(s, d, "attempts"), ["case_no"], ["event_id"]).select("case_no", "status", "error"), "case_no").select("case_id", "status", "error"),
         oracle(("cases", "attempts"), "with f as (select case_no, status, error from attempts qualify row_number() over (partition by case_no order by event_id) = 1) select c.case_id, coalesce(f.status, 'missing') as status, f.error from cases c left join f on f.case_no = c.case_no where c.case_no < 200"),
     ),
     "retry_merge": (
