@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngineConfig
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df checkpointed, in the session's folder or, only where that is unset, in one of this process."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="casegrid-checkpoints-"))
+    return df.checkpoint()
+
+
 def heartbeats(events: DataFrame, stale_s: int = 150, key: str = "user_id") -> DataFrame:
     """key, generation, first, last, n: runs of heartbeats without a gap over stale_s seconds; each gap starts the next
     generation. The batch form of a watchdog that restarts what has gone silent."""
@@ -60,10 +70,14 @@ def first_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def scheduled(packets: DataFrame, order: list[str], most: int) -> DataFrame:
-    """The first packets in an order, with their ordinal. The cut comes first (a top-k in each task), so the window that
-    numbers them sees at most ``most`` rows."""
-    return packets.orderBy(*order).limit(most).withColumn("ordinal", F.row_number().over(Window.orderBy(*order)).cast("long"))
+def scheduled(packets: DataFrame, order: list[str]) -> DataFrame:
+    """All packets with their ordinal in an order. A sort by ranges is written once, as its ranges are sampled anew each
+    time; each part then counts on from the parts before it, so no task sees more than its range."""
+    index = F.monotonically_increasing_id()
+    parts = written(packets.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", index.bitwiseAND((1 << 33) - 1)))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
+    before = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    return parts.join(F.broadcast(before), "_part").withColumn("ordinal", F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")
 
 
 def backfilled(manifest: DataFrame, states: DataFrame, key: str = "case_id") -> DataFrame:

@@ -95,7 +95,7 @@ def strike_marks(spark, sf_dir):
 
 QUERIES = {
     "packet_schedule": (
-        lambda s, d: V.scheduled(frame(s, d, "documents").select("doc_id", "n_chars", "text"), ["n_chars", "doc_id"], 500).select("doc_id", "n_chars", F.sha2("text", 256).alias("sha256"), "ordinal"),
+        lambda s, d: V.scheduled(frame(s, d, "documents").select("doc_id", "n_chars", F.sha2("text", 256).alias("sha256")), ["n_chars", "doc_id"]),
         "select doc_id, n_chars, sha256(text) as sha256, cast(row_number() over (order by n_chars, doc_id) as bigint) as ordinal from documents qualify ordinal <= 500",
     ),
     "leak_audit": (lambda s, d: leaked(s, d), oracle(("native", "reads", "lines"), f"with {LEAKS} select * from leaks")),

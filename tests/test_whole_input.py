@@ -1,9 +1,12 @@
 """Queries that must take their whole input, held against counts and SQL of this file's own."""
 
+import hashlib
+
 import duckdb
 import pytest
 
 from casegrid import catalogue
+from casegrid.operators import supervise
 from casegrid.plans.projection import TABLES, oracle
 
 SF = "/root/testdata/sf0.001"
@@ -29,3 +32,15 @@ def test_every_case_of_the_manifest_gets_a_state(spark, duck):
     first = "select case_no, arg_min(status, event_id) as status, arg_min(error, event_id) as error from attempts group by case_no"
     whole = want(duck, oracle(("cases", "attempts"), f"with f as ({first}) select c.case_id, coalesce(f.status, 'missing'), f.error from cases c left join f on f.case_no = c.case_no"))
     assert got(spark, "state_merge_backfill", "case_id", "status", "error") == whole and len(whole) == 1500
+
+
+def test_every_document_is_scheduled(spark, tmp_path):
+    """More documents than any fixed cap, ties in length, several parts and an empty table."""
+    rows = [(i, None if i == 7 else "x" * (i * 37 % 50), i * 37 % 50) for i in range(1300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint")
+    docs.repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    found = catalogue.queries()["packet_schedule"](spark, str(tmp_path)).select("doc_id", "n_chars", "sha256", "ordinal").collect()
+    order = sorted((n, i) for i, _, n in rows)
+    assert sorted((r["ordinal"], r["n_chars"], r["doc_id"]) for r in found) == [(k + 1, n, i) for k, (n, i) in enumerate(order)]
+    assert all(r["sha256"] == (None if rows[r["doc_id"]][1] is None else hashlib.sha256(rows[r["doc_id"]][1].encode()).hexdigest()) for r in found)
+    assert supervise.scheduled(docs.limit(0), ["n_chars", "doc_id"]).count() == 0
