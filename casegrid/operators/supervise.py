@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..config import DEFAULT, EngineConfig
 
@@ -53,16 +55,52 @@ def next_level(level: Column, ratio: Column, config: EngineConfig = DEFAULT) ->
 
 def levels(ticks: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
     """batch_id, completed, ratio, level: an ordered fold with hysteresis over each batch's ticks (batch_id, completed,
-    ratio). A batch's ticks are one row per evaluation, far fewer than its cases."""
-    row = F.struct("completed", "ratio")
-    zero = F.struct(F.lit(0).alias("level"), F.array().cast("array<struct<completed:bigint,ratio:double,level:int>>").alias("out"))
-
-    def step(a, x):
-        level = next_level(a["level"], x["ratio"], config).cast("int")
-        return F.struct(level.alias("level"), F.array_append(a["out"], F.struct(x["completed"].cast("bigint").alias("completed"), x["ratio"].alias("ratio"), level.alias("level"))).alias("out"))
-
-    folded = ticks.groupBy("batch_id").agg(F.array_sort(F.collect_list(row)).alias("xs"))
-    return folded.select("batch_id", F.explode(F.aggregate("xs", zero, step, lambda a: a["out"])).alias("r")).select("batch_id", "r.*")
+    ratio), of any number.
+
+    A tick maps each level to the next, and maps compose. The ticks are dealt by ranges of batch and order and written
+    once; each part folds its last batch to one map, from which the driver (one row for each part) gets the level that
+    every part starts with, and then each part is folded as a stream."""
+    most = len(config.governor_up) + 1
+    after = F.array(*(next_level(F.lit(k), F.col("ratio"), config).cast("int") for k in range(most)))
+    own = ticks.select("batch_id", F.col("completed").cast("bigint").alias("completed"), F.col("ratio").cast("double").alias("ratio"))
+    parts = written(own.orderBy("batch_id", "completed", "ratio").withColumn("part", F.spark_partition_id()))
+    told = parts.select("part", "batch_id", after.alias("after"))
+    kind = own.schema["batch_id"].dataType.simpleString()
+
+    def folded(batches):
+        part = first = last = at = None
+        for batch in batches:
+            for p, key, step in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part is None:
+                    part, first = p, key
+                if at is None or key != last:
+                    last, at = key, list(range(most))
+                at = [step[x] for x in at]
+        if part is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([first], kinds[0]), pa.array([last], kinds[0]), pa.array([at], pa.list_(pa.int32()))], names=["part", "first", "last", "at"])
+
+    kinds = [to_arrow_schema(own.select("batch_id").schema).field(0).type]
+    level, before, starts = 0, None, {}
+    for r in sorted(told.mapInArrow(folded, f"part int, first {kind}, last {kind}, at array<int>").collect(), key=lambda r: r["part"]):
+        starts[r["part"]] = level if before is not None and r["first"] == before[0] else 0
+        level = r["at"][starts[r["part"]] if r["first"] == r["last"] else 0]
+        before = (r["last"],)
+
+    def streamed(batches):
+        level, last, started = 0, None, False
+        for batch in batches:
+            out = []
+            part, key = (batch.column(i).to_pylist() for i in (3, 0))
+            for p, k, step in zip(part, key, batch.column(4).to_pylist(), strict=True):
+                if not started:
+                    level, last, started = starts[p], k, True
+                elif k != last:
+                    level, last = 0, k
+                level = step[level]
+                out.append(level)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.int32())], names=["batch_id", "completed", "ratio", "level"])
+
+    return parts.withColumn("after", after).mapInArrow(streamed, f"batch_id {kind}, completed bigint, ratio double, level int")
 
 
 def first_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:

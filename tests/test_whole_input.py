@@ -1,11 +1,13 @@
 """Queries that must take their whole input, held against counts and SQL of this file's own."""
 
 import hashlib
+import random
 
 import duckdb
 import pytest
 
 from casegrid import catalogue
+from casegrid.config import EngineConfig
 from casegrid.operators import supervise
 from casegrid.plans.projection import TABLES, oracle
 
@@ -44,3 +46,37 @@ def test_every_document_is_scheduled(spark, tmp_path):
     assert sorted((r["ordinal"], r["n_chars"], r["doc_id"]) for r in found) == [(k + 1, n, i) for k, (n, i) in enumerate(order)]
     assert all(r["sha256"] == (None if rows[r["doc_id"]][1] is None else hashlib.sha256(rows[r["doc_id"]][1].encode()).hexdigest()) for r in found)
     assert supervise.scheduled(docs.limit(0), ["n_chars", "doc_id"]).count() == 0
+
+
+def by_hand(ratios, config=EngineConfig()):
+    level, out = 0, []
+    for x in ratios:
+        up = sum(x >= t for t in config.governor_up)
+        level = up if up > level else level - 1 if level and x < config.governor_down[level - 1] else level
+        out.append(level)
+    return out
+
+
+def test_every_event_moves_the_governor(spark, duck):
+    sql = "select user_id % 10, event_id, cast(round(0.9 + (value - floor(value / 10) * 10) / 10, 4) as double) from events order by 1, 2, 3"
+    ticks = duck.execute(sql).fetchall()
+    whole = [(b, n, x, level) for batch in sorted({t[0] for t in ticks}) for (b, n, x), level in zip([t for t in ticks if t[0] == batch], by_hand([t[2] for t in ticks if t[0] == batch]), strict=True)]
+    assert len(whole) == 1000 and got(spark, "governor_levels", "batch_id", "completed", "ratio", "level") == sorted(whole, key=str)
+
+
+@pytest.mark.parametrize("parts", ["1", "7", "60"])
+def test_levels_go_on_across_parts(spark, parts):
+    """One batch over many parts, parts with many batches, a null batch, and no ticks."""
+    r = random.Random(3)
+    rows = [(b, n, round(r.uniform(0.85, 1.8), 2)) for b, most in ((1, 400), (2, 1), (3, 1), (None, 90), (4, 30)) for n in range(most)]
+    ticks = spark.createDataFrame(rows, "batch_id int, completed bigint, ratio double").repartition(5)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = {(x["batch_id"], x["completed"]): x["level"] for x in supervise.levels(ticks).collect()}
+        assert supervise.levels(ticks.limit(0)).count() == 0
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert found == {(b, n): x for b in {b for b, *_ in rows} for n, x in enumerate(by_hand([x for a, _, x in rows if a == b]))}
