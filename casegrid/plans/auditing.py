@@ -170,7 +170,7 @@ QUERIES = {
         oracle(("cases", "attempts"), "with f as (select case_no, status, error from attempts qualify row_number() over (partition by case_no order by event_id) = 1) select c.case_id, coalesce(f.status, 'missing') as status, f.error from cases c left join f on f.case_no = c.case_no where c.case_no < 200"),
     ),
     "retry_merge": (
-        lambda s, d: V.retried(V.first_wins(frame(s, d, "attempts").where("status = 'failed'"), ["case_no"], ["event_id"]), V.first_wins(frame(s, d, "attempts").where("attempt > 1 and event_id % 3 = 0"), ["case_no"], ["event_id"]), "case_no"),
+        lambda s, d: V.retried(V.first_wins(frame(s, d, "attempts").where("status = 'failed'"), ["case_no"], ["event_id"]), V.first_wins(frame(s, d, "attempts").where("attempt > 1"), ["case_no"], ["event_id"]), "case_no"),
         oracle(("attempts",), "with f as (select * from attempts where status = 'failed' qualify row_number() over (partition by case_no order by event_id) = 1), r as (select * from attempts where attempt > 1 and event_id % 3 = 0 qualify row_number() over (partition by case_no order by event_id) = 1) select f.case_no, coalesce(r.status, f.status) as status, r.status is not null as replaced from f left join r on r.case_no = f.case_no"),
     ),
     "manifest_equality": (

@@ -80,3 +80,9 @@ def test_levels_go_on_across_parts(spark, parts):
         for k, v in held.items():
             spark.conf.set(k, v)
     assert found == {(b, n): x for b in {b for b, *_ in rows} for n, x in enumerate(by_hand([x for a, _, x in rows if a == b]))}
+
+
+def test_every_retry_counts(spark, duck):
+    first = lambda rows: f"select case_no, arg_min(status, event_id) as status from attempts where {rows} group by case_no"
+    whole = want(duck, oracle(("attempts",), f"""with f as ({first("status = 'failed'")}), r as ({first("attempt > 1")}) select f.case_no, coalesce(r.status, f.status), r.status is not null from f left join r on r.case_no = f.case_no"""))
+    assert got(spark, "retry_merge", "case_no", "status", "replaced") == whole
