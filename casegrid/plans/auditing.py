@@ -70,10 +70,10 @@ def table_sql(spark, sf_dir, text, *tables):
 
 
 def noisy(spark, sf_dir):
-    """World names with one character doubled or lost."""
-    r = frame(spark, sf_dir, "reads").where("ord = 1")
+    """World names with one character doubled or lost, one for each read (case_id, ord)."""
+    r = frame(spark, sf_dir, "reads")
     at = F.col("l_suppkey") % 5 + 2
-    return r.select("case_id", "home_world", F.concat(F.col("home_world").substr(F.lit(1), at), F.when(F.col("l_partkey") % 2 == 0, F.lit("x")).otherwise(F.lit("")), F.col("home_world").substr(at + F.when(F.col("l_partkey") % 3 == 0, 2).otherwise(1), F.lit(40))).alias("read"))
+    return r.select("case_id", "ord", "home_world", F.concat(F.col("home_world").substr(F.lit(1), at), F.when(F.col("l_partkey") % 2 == 0, F.lit("x")).otherwise(F.lit("")), F.col("home_world").substr(at + F.when(F.col("l_partkey") % 3 == 0, 2).otherwise(1), F.lit(40))).alias("read"))
 
 
 NOISY = "noisy as (select case_id, home_world, concat(substr(home_world, 1, l_suppkey % 5 + 2), case when l_partkey % 2 = 0 then 'x' else '' end, substr(home_world, l_suppkey % 5 + 2 + case when l_partkey % 3 = 0 then 2 else 1 end, 40)) as read from reads where ord = 1)"
@@ -228,7 +228,7 @@ QUERIES = {
           o as (select page, stroke, min(seq) as seq from h group by page, stroke having count(*) = 1) select o.* from o where not exists (select 1 from cov where cov.page = o.page and cov.seq = o.seq)"""),
     ),
     "vocab_snap": (
-        lambda s, d: noisy(s, d).withColumn("m", Y.snap(F.col("read"), CHOICES)).select("case_id", "read", "m.best", F.round("m.score", 6).alias("score"), F.round("m.margin", 6).alias("margin")),
+        lambda s, d: noisy(s, d).withColumn("m", Y.snap(F.col("read"), CHOICES)).select("case_id", "ord", "read", "m.best", F.round("m.score", 6).alias("score"), F.round("m.margin", 6).alias("margin")),
         oracle(("reads",), f"""with {NOISY}, v as (select *, row_number() over () as i from (select unnest([{q(CHOICES)}]) as c)), p as (select case_id, read, c, list_position([{q(CHOICES)}], c) as i, (1 - levenshtein(read, c) / greatest(length(read), length(c))::double) * 100 as s from noisy cross join v),
           o as (select *, row_number() over (partition by case_id order by s desc, i) as n from p) select case_id, max(read) as read, max(case when n = 1 then c end) as best, round(max(case when n = 1 then s end), 6) as score, round(max(case when n = 1 then s end) - max(case when n = 2 then s end), 6) as margin from o where n <= 2 group by case_id"""),
     ),
@@ -237,7 +237,7 @@ QUERIES = {
         oracle(("reads",), f"""with {NOISY}, p as (select case_id, read, home_world, c, (1 - levenshtein(read, c) / greatest(length(read), length(c))::double) * 100 as s, list_position([{q(CHOICES)}], c) as i from noisy cross join (select unnest([{q(CHOICES)}]) as c)), o as (select * from p qualify row_number() over (partition by case_id order by s desc, i) = 1)
           select count(*) filter (where read <> home_world) as garbled, count(*) filter (where read <> home_world and c = home_world) as fixed, count(*) filter (where read = home_world and c <> home_world) as broken from o"""),
     ),
-    "indel_snap": (lambda s, d: noisy(s, d).select("case_id", F.posexplode(F.array(*map(F.lit, CHOICES))).alias("i", "c"), "read").withColumn("score", Y.indel_ratio(F.col("read"), F.col("c"))).groupBy("case_id").agg(F.max_by("c", F.struct("score", -F.col("i"))).alias("best"), F.max("score").alias("score")), None),
+    "indel_snap": (lambda s, d: noisy(s, d).select("case_id", "ord", F.posexplode(F.array(*map(F.lit, CHOICES))).alias("i", "c"), "read").withColumn("score", Y.indel_ratio(F.col("read"), F.col("c"))).groupBy("case_id", "ord").agg(F.max_by("c", F.struct("score", -F.col("i"))).alias("best"), F.max("score").alias("score")), None),
     "reason_narrative": (lambda s, d: frame(s, d, "benchmark").select("item_id", F.explode(F.array(*map(F.lit, ["the application is approved", "the application is denied", "needs review by staff"]))).alias("c"), "text").withColumn("score", F.greatest(Y.partial_ratio(F.col("text"), F.col("c")), Y.token_set_ratio(F.col("text"), F.col("c")))).groupBy("item_id").agg(F.max_by("c", "score").alias("best"), F.max("score").alias("score")), None),
     "policy_points": (
         lambda s, d: judged(s, d, "candidates").join(frame(s, d, "truth").select("case_id", "adjudication"), "case_id").agg(F.count(F.lit(1)).alias("n"), F.sum(P.score(F.col("decision"), F.col("adjudication"))).cast("long").alias("points")),

@@ -6,7 +6,7 @@ import random
 import duckdb
 import pytest
 
-from casegrid import catalogue
+from casegrid import catalogue, vocab
 from casegrid.config import EngineConfig
 from casegrid.operators import supervise
 from casegrid.plans.projection import TABLES, oracle
@@ -86,3 +86,32 @@ def test_every_retry_counts(spark, duck):
     first = lambda rows: f"select case_no, arg_min(status, event_id) as status from attempts where {rows} group by case_no"
     whole = want(duck, oracle(("attempts",), f"""with f as ({first("status = 'failed'")}), r as ({first("attempt > 1")}) select f.case_no, coalesce(r.status, f.status), r.status is not null from f left join r on r.case_no = f.case_no"""))
     assert got(spark, "retry_merge", "case_no", "status", "replaced") == whole
+
+
+NOISY = "select case_id, ord, home_world, concat(substr(home_world, 1, l_suppkey % 5 + 2), case when l_partkey % 2 = 0 then 'x' else '' end, substr(home_world, l_suppkey % 5 + 2 + case when l_partkey % 3 = 0 then 2 else 1 end, 40)) as read from reads"
+
+
+def common_length(a, b):
+    """The length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+    return row[-1]
+
+
+def test_every_read_is_snapped(spark, duck):
+    names = ", ".join(f"'{w}'" for w in vocab.WORLDS)
+    duck.execute(f"create or replace table noisy as {oracle(('reads',), NOISY)}")
+    scored = f"select n.*, c, list_position([{names}], c) as i, (1 - levenshtein(read, c) / greatest(length(read), length(c))::double) * 100 as s from noisy n cross join (select unnest([{names}]) as c)"
+    best = want(duck, f"select case_id, ord, read, c from ({scored}) qualify row_number() over (partition by case_id, ord order by s desc, i) = 1")
+    assert len(best) == 6000 and got(spark, "vocab_snap", "case_id", "ord", "read", "best") == best
+    home = {r[:2]: r[2] for r in duck.execute("select case_id, ord, home_world from noisy").fetchall()}
+    rows = [(home[c, o], read, b) for c, o, read, b in best]
+    assert got(spark, "corrector_benchmark", "garbled", "fixed", "broken") == [(sum(r != h for h, r, _ in rows), sum(r != h == b for h, r, b in rows), sum(r == h != b for h, r, b in rows))]
+    ratio = {r: max(200 * common_length(r, w) / (len(r) + len(w)) for w in vocab.WORLDS) for _, r, _ in rows}
+    found = catalogue.queries()["indel_snap"](spark, SF).collect()
+    assert sorted((r["case_id"], r["ord"]) for r in found) == sorted(r[:2] for r in best)
+    reads = {r[:2]: r[2] for r in best}
+    assert all(abs(r["score"] - ratio[reads[r["case_id"], r["ord"]]]) < 1e-3 for r in found)
