@@ -13,20 +13,39 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common, crf
 from .words import kept_table
 
-#: At most so many documents of each language, and so many of their first characters, are used to fit.
-SAMPLE_PER_LANGUAGE, SAMPLE_CHARS, MOST_LANGUAGES = 400, 4000, 100
+#: At most so many documents of each language are used to fit, and so many characters of each, in PIECES from the whole text.
+SAMPLE_PER_LANGUAGE, SAMPLE_CHARS, PIECES = 400, 4000, 8
 FOLDS, HELD = 5, 0
-BUCKETS, WIDTH, LEXICON, STEPS, SEQUENCES, EPOCHS = 1 << 16, 32, 200, 64, 2500, 5
+#: SEQUENCES at least, and so many for each language, are learned from; all languages have their turn in them.
+BUCKETS, WIDTH, LEXICON, STEPS, SEQUENCES, SEQUENCES_PER_LANGUAGE, EPOCHS = 1 << 16, 32, 200, 64, 2500, 625, 5
 WORD = re.compile(r"[^\W\d_]+")
 
 
+def turns(spans: list[tuple[int, int]], r: np.random.Generator, words: int) -> list[int]:
+    """Numbers of spans (length, language) with so many words in all, or of all spans: drawn by chance within a language,
+    and by turns among languages, so that a rare one is taken whole before a frequent one goes on."""
+    used: dict[int, int] = {}
+    queue = []
+    for i in r.permutation(len(spans)).tolist():
+        n, x = spans[i]
+        queue.append((used.get(x, 0), x, i))
+        used[x] = used.get(x, 0) + n
+    out, total = [], 0
+    for _, _, i in sorted(queue):
+        if total >= words:
+            break
+        out.append(i)
+        total += spans[i][0]
+    return out
+
+
 class Tagger:
     def __init__(self):
         self.languages: list[str] = []
@@ -66,16 +85,15 @@ class Tagger:
                 n = int(r.integers(6, 30))
                 spans.append((np.array([ids.setdefault(w, len(ids)) for w in words[at : at + n]]), x))
                 at += n
+        most = max(SEQUENCES, SEQUENCES_PER_LANGUAGE * len(self.languages))
         sequences, held, size = [], [], 0
-        for i in r.permutation(len(spans)):
+        for i in r.permutation(turns([(len(a), x) for a, x in spans], r, most * (STEPS + 30))):
             held.append(spans[i])
             size += len(spans[i][0])
             if size >= STEPS:
                 sequences.append((np.concatenate([a for a, _ in held]), np.concatenate([np.full(len(a), x) for a, x in held])))
                 held, size = [], 0
-                if len(sequences) == SEQUENCES:
-                    break
-        if held and not sequences:
+        if held:
             sequences.append((np.concatenate([a for a, _ in held]), np.concatenate([np.full(len(a), x) for a, x in held])))
         table = np.array([self.features(w) for w in ids]).reshape(len(ids), WIDTH)
         self.weights, self.trans, self.start = crf.train(table, sequences, BUCKETS, len(self.languages), EPOCHS)
@@ -92,6 +110,7 @@ class Tagger:
         first = np.repeat(np.cumsum(lengths) - lengths, cuts) + order_in * STEPS
         size = np.minimum(STEPS, np.repeat(lengths, cuts) - order_in * STEPS)
         by_size = np.argsort(size, kind="stable")
+        block = max(16, block * 4 // max(4, len(self.languages)))
         trans, start = self.trans.astype(np.float32), self.start.astype(np.float32)
         for k in range(0, len(by_size), block):
             own = by_size[k : k + block]
@@ -106,15 +125,13 @@ def fit(docs: DataFrame, doc_id: str = "doc_id") -> Tagger:
     """Fit on a bounded sample of each language's documents outside the held-out fold; only ids are broadcast."""
     common.prepare(docs.sparkSession)
     learn = docs.select(F.col(doc_id).alias("doc_id"), "lang").where("doc_id is not null and lang is not null").where(~common.held_out("doc_id", FOLDS, HELD))
-    names = sorted(r["lang"] for r in learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect())
     model = Tagger()
-    if not names:
-        return model
-    first = [learn.where(F.col("lang") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_LANGUAGE) for x in names]
-    chosen = first[0]
-    for x in first[1:]:
-        chosen = chosen.unionByName(x)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).where("text is not null").join(F.broadcast(chosen.distinct()), ["doc_id", "lang"]).collect()
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = learn.withColumn("turn", turn).where(F.col("turn") <= SAMPLE_PER_LANGUAGE).select("doc_id", "lang")
+    size, step = SAMPLE_CHARS // PIECES, f"(length(text) div {PIECES})"
+    spread = f"transform(sequence(0, {PIECES - 1}), i -> substring(text, int(i * {step} + pmod(xxhash64(doc_id, i), {step} - {size} + 1)) + 1, {size}))"
+    pieces = F.expr(f"if(length(text) <= {SAMPLE_CHARS}, text, array_join({spread}, ' '))").alias("text")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), "lang", "text").where("text is not null").join(F.broadcast(chosen.distinct()), ["doc_id", "lang"]).select("doc_id", "lang", pieces).collect()
     rows = sorted((r["doc_id"], r["lang"], r["text"]) for r in rows if WORD.search(r["text"]))
     if rows:
         model.fit([(t, x) for _, x, t in rows])
@@ -129,7 +146,7 @@ def predicted(docs: DataFrame, model: Tagger, keep: list[str], text: str = "text
     name = hashlib.sha256(model.weights.tobytes() + model.trans.tobytes()).hexdigest() if model.languages else ""
 
     def make():
-        table = kept_table(name, model.emissions, len(model.languages), 400_000) if model.languages else None
+        table = kept_table(name, model.emissions, len(model.languages), max(20_000, 1_600_000 // max(4, len(model.languages)))) if model.languages else None
 
         def compute(batch: pa.RecordBatch) -> list:
             if table is None:
