@@ -3,8 +3,7 @@
 A page is cut into blocks of text. A logistic classifier, trained in numpy on the labelled page skeletons below, gives
 each block a cost for the label "content" and one for "boilerplate": its terminal capacities. Neighbouring blocks, and
 blocks under one parent, are tied by smoothness edges that weaken with their distance in the tree. The maximum flow
-separates content from boilerplate at the least total cost. Blocks whose own cost outweighs all their ties are settled
-before the flow is computed, which doesn't change the cut.
+separates content from boilerplate at the least total cost.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ import functools
 import html
 import re
 from collections import deque
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +22,19 @@ from pyspark.sql import types as T
 from . import common
 
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|title|textarea|select|object|canvas|math|xmp|noembed|noframes)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)",
-    re.S | re.I,
+    re.S,
 )
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input".split())
+#: Elements whose text is no markup: it ends at their closing tag alone. Code without one goes on to the end of the page.
+RAW = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for x in ("script", "style", "title", "textarea", "iframe", "xmp", "noembed", "noframes")}
+CODE = ("script", "style")
+RAW_END = re.compile(rf"</({'|'.join(RAW)})(?=[\s/>])", re.I)
+#: Elements that aren't shown as text, where they are closed.
+UNSEEN = frozenset("svg noscript template select canvas".split())
+MATH = frozenset("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics annotation annotation-xml".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input object".split()) | MATH
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What an opening tag closes, besides what all block tags close (an open p).
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -71,6 +77,58 @@ class Block:
         self.text, self.flags, self.tag, self.links, self.parent, self.far = text, flags, tag, links, parent, far
 
 
+class Tag:
+    """A tag of the page: where it starts, where the text after it starts, and what it says. ``name`` is empty for comments and declarations."""
+
+    __slots__ = ("start", "end", "closes", "name", "attributes", "alone", "skip")
+
+    def __init__(self, start: int, end: int, closes: bool = False, name: str = "", attributes: str = ""):
+        self.start, self.end, self.closes, self.name, self.attributes = start, end, closes, name, attributes
+        self.alone = attributes.endswith("/") and (name in ("svg", "math") or "-" in name)
+        self.skip = 0
+
+
+def tags(page: str) -> list[Tag]:
+    """The page's tags in order. Raw text is part of its opening tag; ``skip`` of one that opens an unseen element is
+    the number of the tag that closes it (0 if none does)."""
+    last: dict[str, int] = {}
+    for m in RAW_END.finditer(page):
+        last[m[1].lower()] = m.start()
+    cdata = page.rfind("]]>")
+    out: list[Tag] = []
+    opened: dict[str, list[int]] = {}
+    at = 0
+    while m := TAG.search(page, at):
+        at = m.end()
+        name = (m[2] or m[5] or "").lower()
+        if not name:
+            if m[0] == "<![CDATA[":  # its text is text, up to its end
+                end = page.find("]]>", at) if cdata >= at else -1
+                out.append(Tag(m.start(), at))
+                if end >= 0:
+                    out.append(Tag(end, end + 3))
+                    at = end + 3
+            else:
+                out.append(Tag(m.start(), at))
+            continue
+        closes, attributes = (m[1], m[3]) if m[2] else (m[4], m[6])
+        tag = Tag(m.start(), at, bool(closes), name, attributes.strip())
+        if name in RAW and not closes:
+            if last.get(name, -1) >= at:
+                at = RAW[name].search(page, at).end()
+            elif name in CODE:
+                at = len(page)
+            if at != tag.end:
+                tag = Tag(m.start(), at)
+        elif name in UNSEEN and closes:
+            if opened.get(name):
+                out[opened[name].pop()].skip = len(out)
+        elif name in UNSEEN and not tag.alone:
+            opened.setdefault(name, []).append(len(out))
+        out.append(tag)
+    return out
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks in order: text between block tags, character references decoded, white space made one space.
 
@@ -79,6 +137,7 @@ def blocks(page: str) -> list[Block]:
     """
     out: list[Block] = []
     stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, flags of it and all above, number
+    depths: dict[str, list[int]] = {}  # where each open tag stands in the stack
     number, at = 0, 0
     text: list[str] = []
     links = anchors = 0
@@ -98,9 +157,14 @@ def blocks(page: str) -> list[Block]:
 
     def close(upto: int) -> None:
         nonlocal lowest
+        for name, _, _ in stack[upto:]:
+            depths[name].pop()
         del stack[upto:]
         lowest = min(lowest, len(stack) - 1)
 
+    def deepest(names: Iterable[str]) -> int:
+        return max((depths[x][-1] for x in names if depths.get(x)), default=0)
+
     def add(raw: str) -> None:
         nonlocal links
         if raw:
@@ -110,12 +174,19 @@ def blocks(page: str) -> list[Block]:
             if anchors:
                 links += len(raw.strip())
 
-    for m in TAG.finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        if m[1] or (m[3] is None and m[6] is None):  # an element without text, a comment or a declaration
+    found = tags(page)
+    upto = -1
+    for k, mark in enumerate(found):
+        if k < upto:
+            continue
+        if k > upto:
+            add(page[at : mark.start])
+        at = mark.end
+        if mark.skip:
+            upto = mark.skip
+        end, tag, attributes = mark.closes, mark.name, mark.attributes
+        if not tag or tag in UNSEEN or mark.alone:
             continue
-        end, tag, attributes = (m[2], m[3].lower(), m[4]) if m[3] is not None else (m[5], m[6].lower(), m[7])
         if tag in INLINE:
             if tag == "a":
                 anchors = max(0, anchors - 1) if end else anchors + 1
@@ -124,25 +195,20 @@ def blocks(page: str) -> list[Block]:
             continue
         flush()
         if end:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
+            if i := deepest((tag,)):
+                close(i)
             anchors = 0
             continue
         shut = ("p", *CLOSES.get(tag, ()))
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in shut:
-                close(i)
-                break
-            if stack[i][0] in SCOPES:
-                break
+        if (i := deepest(shut)) and i >= deepest(SCOPES):
+            close(i)
         if tag in VOID:
             continue
-        flags = stack[-1][1] | own_flags(tag, attributes.strip())
+        flags = stack[-1][1] | own_flags(tag, attributes)
         if tag == "header" and stack[-1][1] & (BIT["article"] | BIT["main"]):
             flags = flags & ~BIT["header"] | BIT["header in article"]
         number += 1
+        depths.setdefault(tag, []).append(len(stack))
         stack.append((tag, flags, number))
         anchors = 0
     add(page[at:])
@@ -183,57 +249,91 @@ def ties(found: list[Block]) -> list[tuple[int, int, float]]:
 
 
 def minimum_cut(costs: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
-    """Which nodes are on the source's side. costs: what it costs to put a node on the other side (negative: on the
-    source's); an edge costs its weight if it is cut."""
+    """Which nodes are on the source's side of a maximum flow's cut. costs: what it costs to put a node on the other
+    side (negative: on the source's); an edge costs its weight if it is cut.
+
+    The network is reduced first: a node tied to at most two others is taken out, and its capacities pass to those two
+    as terminal capacities and one edge between them, exactly as much as can flow through it. Each such step is
+    undone in reverse once its neighbours' sides are known. Edges between neighbours in page order and within parents
+    never cross, so pages reduce in a time that grows with their blocks; augmenting paths serve whatever is left.
+    """
     n = len(costs)
     u = list(costs)
     near: list[dict[int, float]] = [{} for _ in range(n)]
     for i, j, w in edges:
         near[i][j] = near[i].get(j, 0.0) + w
         near[j][i] = near[j].get(i, 0.0) + w
-    side: list[bool | None] = [None] * n
-    queue = deque(range(n))
-    while queue:
-        i = queue.popleft()
-        if side[i] is None and abs(u[i]) >= sum(near[i].values()):
-            side[i] = u[i] > 0
-            for j, w in near[i].items():
-                u[j] += w if side[i] else -w
-                del near[j][i]
-                queue.append(j)
-            near[i] = {}
-    rest = [i for i in range(n) if side[i] is None]
-    if rest:
-        for i, on in zip(rest, _flow([u[i] for i in rest], [{rest.index(j): w for j, w in near[i].items()} for i in rest]), strict=True):
-            side[i] = on
-    return [bool(x) for x in side]
+    gone: list[tuple[int, float, list[tuple[int, float]]]] = []
+    out = [False] * n
+    ready = deque(i for i in range(n) if len(near[i]) <= 2)
+    while ready:
+        i = ready.popleft()
+        if out[i] or len(near[i]) > 2:
+            continue
+        own = list(near[i].items())
+        gone.append((i, u[i], own))
+        out[i] = True
+        for j, _ in own:
+            del near[j][i]
+        if len(own) == 1:
+            j, w = own[0]
+            u[j] -= min(w, -u[i]) - min(0.0, w - u[i])
+        elif own:
+            (j, v), (k, w) = own
+            none, first, second, both = min(0.0, v + w - u[i]), min(v, w - u[i]), min(w, v - u[i]), min(v + w, -u[i])
+            tie = max(0.0, (first + second - none - both) / 2)
+            u[j] -= first - none - tie
+            u[k] -= second - none - tie
+            if tie > 0:
+                near[j][k] = near[k][j] = near[j].get(k, 0.0) + tie
+        ready.extend(j for j, _ in own if len(near[j]) <= 2)
+    rest = [i for i in range(n) if not out[i]]
+    place = {i: k for k, i in enumerate(rest)}
+    side = [False] * n
+    for i, on in zip(rest, _flow([u[i] for i in rest], [{place[j]: w for j, w in near[i].items()} for i in rest]), strict=True):
+        side[i] = on
+    for i, x, own in reversed(gone):
+        side[i] = x > sum(-w if side[j] else w for j, w in own)
+    return side
 
 
 def _flow(u: list[float], near: list[dict[int, float]]) -> list[bool]:
-    """Augments shortest paths until none is left; the nodes that the source still reaches are its side."""
+    """Augments shortest paths until none is left; the nodes that the source still reaches are its side. A search gives
+    a blocking flow: all augmenting paths of the length it found."""
     n, s, t = len(u), len(u), len(u) + 1
     room: list[dict[int, float]] = [dict(x) for x in near] + [{}, {}]
     for i, x in enumerate(u):
         room[s][i], room[i][s] = max(x, 0.0), 0.0
         room[i][t], room[t][i] = max(-x, 0.0), 0.0
     while True:
-        before, queue = {s: s}, deque([s])
-        while queue and t not in before:
+        level, queue = {s: 0}, deque([s])
+        while queue:
             i = queue.popleft()
             for j, c in room[i].items():
-                if c > 1e-9 and j not in before:
-                    before[j] = i
+                if c > 1e-9 and j not in level:
+                    level[j] = level[i] + 1
                     queue.append(j)
-        if t not in before:
-            return [i in before for i in range(n)]
-        path, j = [], t
-        while j != s:
-            path.append((before[j], j))
-            j = before[j]
-        most = min(room[i][j] for i, j in path)
-        for i, j in path:
-            room[i][j] -= most
-            room[j][i] += most
+        if t not in level:
+            return [i in level for i in range(n)]
+        arcs, at = {i: list(room[i]) for i in level}, dict.fromkeys(level, 0)
+        path = [s]
+        while path:
+            i = path[-1]
+            if i == t:
+                steps = list(zip(path[:-1], path[1:], strict=True))
+                most = min(room[a][b] for a, b in steps)
+                for a, b in steps:
+                    room[a][b] -= most
+                    room[b][a] += most
+                path = [s]
+                continue
+            while at[i] < len(arcs[i]) and not (room[i][arcs[i][at[i]]] > 1e-9 and level.get(arcs[i][at[i]]) == level[i] + 1):
+                at[i] += 1
+            if at[i] < len(arcs[i]):
+                path.append(arcs[i][at[i]])
+            else:
+                path.pop()
+                level[i] = -1
 
 
 #: Labelled skeletons: {text} is an article's block and {x} one of boilerplate. Each is filled with words drawn anew.
