@@ -1,9 +1,10 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products within cells, one representative a group.
 
-Vectors link when their labels are equal and their cosine is at least LEAST. Each vector belongs to the cell of its
-nearest centroid and visits every later cell in which a linked vector could lie: those whose bisecting hyperplane is
-within the angle acos(LEAST) of it. So no link is lost, however the cells fall; where the data have no clusters, the
-visits make the work of a label approach all its pairs of blocks. Equal vectors are one weighted vector. Cells are
+Vectors link when their labels are equal and their cosine is at least LEAST. A label is divided into as many cells as
+give about CELL vectors each, so cells grow in number and not in size. Each vector belongs to the cell of its nearest
+centroid and visits every later cell in which a linked vector could lie: those whose bisecting hyperplane is within
+the angle acos(LEAST) of it. So no link is lost, however the cells fall; where the data have no clusters, the visits
+make the work of a label approach all its pairs of blocks. Equal vectors of a label are one weighted node. Cells are
 worked in blocks of bounded size, and a block gives its vectors' link counts and a spanning forest of its links, not
 its pairs.
 """
@@ -23,8 +24,14 @@ from . import common
 from .components import components
 
 LEAST = 0.93
-#: Centroids are fitted on at most so many vectors (the first by hash).
-SAMPLE, BASE, PROBES = 20_000, 1024, 8192
+#: Vectors a cell, and at most so many cells a label; a cell that holds more all the same is worked in more blocks.
+CELL, MOST_CELLS = 4096, 1 << 15
+#: Centroids are fitted on the first vectors by hash: SAMPLE, or SAMPLE_PER_CELL for each cell of the largest label.
+SAMPLE, SAMPLE_PER_CELL = 20_000, 8
+#: A task compares at most about so many vectors of a cell with each other and with so many later ones and visitors.
+BASE, PROBES = 4096, 8192
+#: Products are made in parts of at most so many numbers.
+PART = 4_000_000
 
 
 def unit(X: np.ndarray) -> np.ndarray:
@@ -32,12 +39,17 @@ def unit(X: np.ndarray) -> np.ndarray:
     return X / np.sqrt((X * X).sum(1, keepdims=True))
 
 
+def parts(rows: int, width: int) -> Iterator[slice]:
+    step = max(1, PART // max(1, width))
+    return (slice(i, i + step) for i in range(0, rows, step))
+
+
 def centroids(X: np.ndarray, k: int, rounds: int = 12, seed: int = 6) -> np.ndarray:
     """Spherical k-means on unit rows; an empty cell keeps its centroid."""
     r = np.random.default_rng(seed)
     C = X[r.choice(len(X), min(k, len(X)), replace=False)]
     for _ in range(rounds):
-        own = (X @ C.T).argmax(1)
+        own = np.concatenate([(X[p] @ C.T).argmax(1) for p in parts(len(X), len(C))])
         sums = np.zeros_like(C)
         np.add.at(sums, own, X)
         size = np.sqrt((sums * sums).sum(1, keepdims=True))
@@ -47,20 +59,27 @@ def centroids(X: np.ndarray, k: int, rounds: int = 12, seed: int = 6) -> np.ndar
 
 def cells(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(own cell of each row, rows that visit, the cells they visit)."""
-    S = X @ C.T
-    own = S.argmax(1)
-    apart = np.sqrt(np.maximum(2 - 2 * C @ C.T, 0))
-    gap = S[np.arange(len(X)), own][:, None] - S
-    visits = (gap <= math.sqrt(1 - LEAST**2) * apart[own] + 1e-9) & (np.arange(len(C)) > own[:, None])
-    rows, at = np.nonzero(visits)
-    return own, rows, at
+    found = [], [], []
+    for p in parts(len(X), len(C)):
+        S = X[p] @ C.T
+        own = S.argmax(1)
+        apart = np.sqrt(np.maximum(2 - 2 * C[own] @ C.T, 0))
+        gap = S[np.arange(len(S)), own][:, None] - S
+        rows, at = np.nonzero((gap <= math.sqrt(1 - LEAST**2) * apart + 1e-9) & (np.arange(len(C)) > own[:, None]))
+        for held, x in zip(found, (own, rows + p.start, at), strict=True):
+            held.append(x)
+    return tuple(np.concatenate([*held, np.zeros(0, np.int64)]) for held in found)
 
 
 def linked(B: np.ndarray, P: np.ndarray, inside: bool) -> tuple[np.ndarray, np.ndarray]:
     """Which base rows link with each other (without the diagonal; none unless inside) and with which probes."""
-    among = B @ B.T >= LEAST if inside else np.zeros((len(B), len(B)), bool)
+    among, across = np.zeros((len(B), len(B)), bool), np.zeros((len(B), len(P)), bool)
+    for p in parts(len(B), max(len(B), len(P))):
+        if inside:
+            among[p] = B[p] @ B.T >= LEAST
+        across[p] = B[p] @ P.T >= LEAST
     np.fill_diagonal(among, False)
-    return among, B @ P.T >= LEAST
+    return among, across
 
 
 def forest(among: np.ndarray, across: np.ndarray) -> list[tuple[int, int]]:
@@ -97,23 +116,23 @@ FOUND = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.Lon
 FOUND_ARROW = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("n", pa.int64())])
 
 
-def _placed(vectors: DataFrame, C: np.ndarray) -> DataFrame:
-    """(label, dim, vector, rep, n) with its own cell, and again with each cell it visits."""
+def _placed(vectors: DataFrame, levels: dict[int, np.ndarray]) -> DataFrame:
+    """(label, dim, vector, node, n, cells) with its own cell among so many, and again with each cell it visits."""
     schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("visits", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.pieces(batch, 1_000_000):
-                dims = part.column(1).to_numpy()
-                main = np.flatnonzero(dims == C.shape[1])
-                own = np.zeros(part.num_rows, np.int32)
-                rows = at = np.zeros(0, np.int64)
-                if len(main):
-                    own[main], rows, at = cells(unit(_vectors(part.column(2).take(pa.array(main)), C.shape[1])), C)
-                    rows = main[rows]
-                take = pa.array(np.concatenate([np.arange(part.num_rows), rows]))
+                level = part.column(5).to_numpy()
+                own, rows, at = np.zeros(part.num_rows, np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for k in np.unique(level[level > 1]).tolist():
+                    here = np.flatnonzero(level == k)
+                    own[here], visitors, visited = cells(unit(_vectors(part.column(2).take(pa.array(here)), levels[k].shape[1])), levels[k])
+                    rows.append(here[visitors])
+                    at.append(visited)
+                take = pa.array(np.concatenate([np.arange(part.num_rows), *rows]))
                 columns = [c.take(take) for c in part.columns]
-                columns += [pa.array(np.concatenate([own, at]).astype(np.int32)), pa.array(np.arange(len(take)) >= part.num_rows)]
+                columns += [pa.array(np.concatenate([own, *at]).astype(np.int32)), pa.array(np.arange(len(take)) >= part.num_rows)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return vectors.mapInArrow(run, schema)
@@ -127,17 +146,17 @@ def _block_links(tasks: DataFrame) -> DataFrame:
         own = pa.Table.from_batches(rows).combine_chunks()
         dim, chunk = own.column(1)[0].as_py(), own.column(4)[0].as_py()
         base = own.column(5).to_numpy()
-        rep, n = own.column(6).to_numpy(), own.column(7).to_numpy()
+        node, n = own.column(6).to_numpy(), own.column(7).to_numpy()
         X = unit(_vectors(own.column(8).combine_chunks(), dim))
         b, p = np.flatnonzero(base), np.flatnonzero(~base)
         among, across = linked(X[b], X[p], chunk == 0)
         if not among.any() and not across.any():
             return None
         order = np.concatenate([b, p])
-        edges = np.array([(rep[order[i]], rep[order[j]]) for i, j in forest(among, across)], np.int64).reshape(-1, 2)
+        edges = np.array([(node[order[i]], node[order[j]]) for i, j in forest(among, across)], np.int64).reshape(-1, 2)
         counts = np.concatenate([among @ n[b] + across @ n[p], n[b] @ across])
         some = counts > 0
-        u = np.concatenate([edges[:, 0], rep[order][some]])
+        u = np.concatenate([edges[:, 0], node[order][some]])
         none = len(edges)
         v = pa.array(np.concatenate([edges[:, 1], np.zeros(some.sum(), np.int64)]), mask=np.arange(len(u)) >= none)
         c = pa.array(np.concatenate([np.zeros(none, np.int64), counts[some]]), mask=np.arange(len(u)) < none)
@@ -161,7 +180,7 @@ def _block_links(tasks: DataFrame) -> DataFrame:
         if held and (out := solve(held)) is not None:
             yield out
 
-    dealt = tasks.select(*keys, "base", "rep", "n", "vector").repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys)
+    dealt = tasks.select(*keys, "base", "node", "n", "vector").repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys)
     return dealt.mapInArrow(run, FOUND)
 
 
@@ -178,30 +197,39 @@ def near_duplicates(table: DataFrame, vec_id: str = "vec_id", vector: str = "emb
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     fit = F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.forall("vector", finite) & F.exists("vector", lambda x: x != 0), F.lit(False))
     known = known.withColumn("fit", fit)
-    reps = known.where("fit").groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    reps = reps.select("label", F.size("vector").alias("dim"), "vector", "rep", "n").checkpoint()
-    sizes = reps.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    if sizes:
-        dim, total = sizes[0]
-        drawn = reps.where(F.col("dim") == dim).orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("vector").collect()
-        C = centroids(unit(np.array([r["vector"] for r in drawn], np.float64)), max(4, min(256, int(math.sqrt(total) / 16))))
-    else:
-        C = np.ones((1, 1))
-    placed = _placed(reps, C).checkpoint()
+    nodes = known.where("fit").groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    # ids hold once they are written; a name would not do, as rows of several labels may share it
+    nodes = nodes.select("label", F.size("vector").alias("dim"), "vector", "rep", "n", F.monotonically_increasing_id().alias("node")).checkpoint()
+    sizes = nodes.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
+    dim = sizes[0]["dim"] if sizes else 0
+    wanted = F.least(F.lit(MOST_CELLS), F.pow(F.lit(2), F.ceil(F.log2(F.col("size") / CELL)))).cast("int")
+    large = nodes.where(F.col("dim") == dim).groupBy("label").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > CELL).select("label", F.lit(dim).alias("dim"), wanted.alias("cells"))
+    counted = [r["cells"] for r in large.select("cells").distinct().collect()]  # powers of two: 15 at most
+    levels = {}
+    if counted:
+        most = max(SAMPLE, SAMPLE_PER_CELL * max(counted))
+        drawn = nodes.where(F.col("dim") == dim).orderBy(F.xxhash64("vector"), "node").limit(most).select("vector").collect()
+        X = unit(np.array([r["vector"] for r in drawn], np.float64))
+        levels = {k: centroids(X, k) for k in counted}
+    sorted_out = nodes.join(large, ["label", "dim"], "left").select("label", "dim", "vector", "node", "n", F.coalesce("cells", F.lit(1)).alias("cells"))
+    placed = _placed(sorted_out, levels).checkpoint()
     held = placed.groupBy("label", "dim", "cell").agg(F.count_if(~F.col("visits")).alias("own"), F.count(F.lit(1)).alias("all"))
-    held = held.where("own > 0").select("label", "dim", "cell", F.ceil(F.col("own") / BASE).cast("int").alias("blocks"), F.ceil(F.col("all") / PROBES).cast("int").alias("chunks"))
+    held = held.where("own > 0").select("label", "dim", "cell", F.ceil(F.col("own") / BASE).cast("int").alias("blocks"), F.ceil((F.col("all") - F.least("own", F.lit(BASE))) / PROBES).cast("int").alias("chunks"))
+    held = held.withColumn("chunks", F.greatest("chunks", F.lit(1)))
     sized = placed.join(held, ["label", "dim", "cell"])
-    block = F.when(F.col("visits"), F.lit(-1)).otherwise(F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    chunk = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("chunks")).cast("int")
+    block = F.when(F.col("visits"), F.lit(-1)).otherwise(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    chunk = F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int")
     sized = sized.withColumn("mine", block).withColumn("part", chunk)
     as_base = sized.where("not visits").select("*", F.col("mine").alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")).withColumn("base", F.lit(True))
     later = sized.where("mine + 1 < blocks")
     as_probe = later.select("*", F.explode(F.sequence(F.col("mine") + 1, F.col("blocks") - 1)).alias("block")).withColumn("chunk", F.col("part")).withColumn("base", F.lit(False))
     found = _block_links(as_base.unionByName(as_probe)).checkpoint()
-    counts = found.where("n is not null").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("links"))
-    roots = components(found.where("v is not null").select("u", "v"))
-    named = reps.join(counts, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
+    counts = found.where("n is not null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("links"))
+    roots = components(found.where("v is not null").select("u", "v")).join(nodes.select("node", "rep"), "node")
+    least = roots.groupBy("root").agg(F.min("rep").alias("least"))
+    roots = roots.join(least, "root").select("node", "least")
+    named = nodes.join(counts, "node", "left").join(roots, "node", "left")
+    named = named.select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("least", "rep").alias("component_id"))
     some = known.where("fit").join(named, ["label", "vector"]).select("vec_id", "n_links", "component_id")
     none = known.where("not fit").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return some.unionByName(none).select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
