@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..config import DEFAULT, EngineConfig
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df checkpointed, in the session's folder or, only where that is unset, in one of this process."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="casegrid-checkpoints-"))
-    return df.checkpoint()
+from ..sources.materialize import materialized
 
 
 def heartbeats(events: DataFrame, stale_s: int = 150, key: str = "user_id") -> DataFrame:
@@ -63,7 +54,7 @@ def levels(ticks: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
     most = len(config.governor_up) + 1
     after = F.array(*(next_level(F.lit(k), F.col("ratio"), config).cast("int") for k in range(most)))
     own = ticks.select("batch_id", F.col("completed").cast("bigint").alias("completed"), F.col("ratio").cast("double").alias("ratio"))
-    parts = written(own.orderBy("batch_id", "completed", "ratio").withColumn("part", F.spark_partition_id()))
+    parts = materialized(own.orderBy("batch_id", "completed", "ratio").withColumn("part", F.spark_partition_id()))
     told = parts.select("part", "batch_id", after.alias("after"))
     kind = own.schema["batch_id"].dataType.simpleString()
 
@@ -112,7 +103,7 @@ def scheduled(packets: DataFrame, order: list[str]) -> DataFrame:
     """All packets with their ordinal in an order. A sort by ranges is written once, as its ranges are sampled anew each
     time; each part then counts on from the parts before it, so no task sees more than its range."""
     index = F.monotonically_increasing_id()
-    parts = written(packets.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", index.bitwiseAND((1 << 33) - 1)))
+    parts = materialized(packets.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", index.bitwiseAND((1 << 33) - 1)))
     ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
     before = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
     return parts.join(F.broadcast(before), "_part").withColumn("ordinal", F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")

@@ -1,16 +1,28 @@
-"""Cutting lineage where a result is used more than once."""
+"""Cutting lineage where a result is used more than once, and the folder that this needs."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which all executors must share: the one that is set, or ``spark.checkpoint.dir``.
+
+    Only a local session, whose executors are this process, gets a folder of its own where neither is set; on a cluster
+    that is an error, as the driver's folders can't be seen elsewhere.
+    """
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="casegrid-checkpoints-"))
+    return sc.getCheckpointDir()
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """df, computed once and written to the checkpoint folder that the executors share. The session's own folder is
-    used; only where there is none, as in local tests, one is made."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="casegrid-checkpoints-"))
+    """df, computed once and written to the checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,13 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..sources.materialize import checkpoint_folder
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the session's checkpoint folder; one of this process where none is set, as in tests."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        base = tempfile.mkdtemp(prefix="casegrid-streams-")
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    """A new folder under the session's checkpoint folder."""
+    return f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def events(spark: SparkSession, path: str, late: str = "10 minutes") -> DataFrame:
