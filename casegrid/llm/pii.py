@@ -13,6 +13,7 @@ import hashlib
 import ipaddress
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,9 @@ KINDS = ("email", "ip", "card", "phone")
 #: Further kinds that only the field finds.
 MORE = ("id",)
 LABELS = ["none", *(f"{p}-{k}" for k in (*KINDS, *MORE) for p in ("B", "I"))]
-BUCKETS, WIDTH, LONGEST_RUN, EPOCHS = 1 << 14, 16, 128, 12
+BUCKETS, WIDTH, EPOCHS = 1 << 14, 16, 12
+#: Runs are decoded together as far as their padded tokens come to so many; a longer run is decoded by itself.
+TOKENS = 1 << 18
 
 #: The labelled table: a line is a text; [kind ...] marks its personal data. In training, each line is repeated with
 #: other digits.
@@ -89,12 +92,15 @@ MARKED = re.compile(r"\[(\w+) ([^\]]+)\]")
 EDGES = "\"'.,;:!?<>{}[]|*#%&$=~`"
 
 
-@functools.lru_cache(maxsize=20_000)
 def shape(token: str) -> tuple[str, ...]:
     """Names of what a token looks like: its shape with runs counted and collapsed, its digits and its marks."""
+    return short_shape(token) if len(token) <= MOST_HELD else whole_shape(token)
+
+
+def whole_shape(token: str) -> tuple[str, ...]:
     core = token.strip(EDGES)
     parts, at = [], 0
-    while at < len(core) and len(parts) < 12:
+    while at < len(core):
         c = core[at]
         kind = "d" if "0" <= c <= "9" else "a" if c.isalpha() else c
         end = at + 1
@@ -107,13 +113,21 @@ def shape(token: str) -> tuple[str, ...]:
     return counted, "".join(k for k, _ in parts), f"digits{min(digits, 20)}", f"parts{len(parts)}", "at" if "@" in core[1:-1] and "." in core.rpartition("@")[2] else "-", core[:1] if core[:1] in "+(" else "-"
 
 
+#: Results of tokens up to so many characters are held for when they come again; longer ones are worked out anew.
+MOST_HELD = 200
+short_shape = functools.lru_cache(maxsize=20_000)(whole_shape)
+
+
 def bucket(name: str, salt: int) -> int:
     return 1 + zlib.crc32(name.encode("utf-8", "replace"), salt) % (BUCKETS - 1)
 
 
-@functools.lru_cache(maxsize=30_000)
 def features(before: str, token: str, after: str, word: str) -> tuple[int, ...]:
     """Buckets of a token of a run: before and after are its neighbours in the run ("" at its ends), word the plain word before the run."""
+    return (short_features if max(len(before), len(token), len(after)) <= MOST_HELD else whole_features)(before, token, after, word)
+
+
+def whole_features(before: str, token: str, after: str, word: str) -> tuple[int, ...]:
     own = shape(token)
     found = [bucket(x, 10 + i) for i, x in enumerate(own)]
     for salt, other in ((30, before), (40, after)):
@@ -123,6 +137,9 @@ def features(before: str, token: str, after: str, word: str) -> tuple[int, ...]:
     return tuple(found[:WIDTH]) + (0,) * (WIDTH - len(found))
 
 
+short_features = functools.lru_cache(maxsize=30_000)(whole_features)
+
+
 def runs(text: str) -> list[tuple[list[tuple[int, int]], str]]:
     """Runs of neighbouring tokens with a digit or an @: their spans, and the plain word before."""
     out: list[tuple[list[tuple[int, int]], str]] = []
@@ -136,7 +153,7 @@ def runs(text: str) -> list[tuple[list[tuple[int, int]], str]]:
             start -= 1
         end = TOKEN.match(text, at).end()
         between = text[last:start] if out else ""
-        if out and last >= 0 and len(between) <= 3 and between.isspace() and len(out[-1][0]) < LONGEST_RUN:
+        if out and last >= 0 and len(between) <= 3 and between.isspace():
             out[-1][0].append((start, end))
         else:
             words = text[max(0, start - 24) : start].split()
@@ -146,7 +163,7 @@ def runs(text: str) -> list[tuple[list[tuple[int, int]], str]]:
 
 
 def run_features(text: str, spans: list[tuple[int, int]], word: str) -> list[tuple[int, ...]]:
-    tokens = [text[a:b] if b - a <= 200 else text[a : a + 100] + text[b - 100 : b] for a, b in spans]
+    tokens = [text[a:b] for a, b in spans]
     return [features(tokens[i - 1] if i else "", t, tokens[i + 1] if i + 1 < len(tokens) else "", word) for i, t in enumerate(tokens)]
 
 
@@ -181,7 +198,7 @@ class Field:
                     begins = any(s < b and a < e and a <= s for _, s, e in spans)
                     labels.append(0 if kind is None else LABELS.index(f"{'B' if begins else 'I'}-{kind}"))
                 sequences.append((np.array([ids.setdefault(f, len(ids)) for f in run_features(text, tokens, word)]), np.array(labels)))
-        self.weights, self.trans, self.start = crf.train(np.array(list(ids)), sequences, BUCKETS, len(LABELS), EPOCHS)
+        self.weights, self.trans, self.start = crf.train(crf.Ragged([[x for x in f if x] for f in ids]), sequences, BUCKETS, len(LABELS), EPOCHS)
         for i, x in enumerate(LABELS):  # an inside label follows its own kind only
             if x.startswith("I-"):
                 self.start[i] = -1e4
@@ -199,8 +216,8 @@ class Field:
                 rows.append(run_features(text, tokens, word))
         out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
         order = np.argsort([len(r) for r in rows], kind="stable")
-        for k in range(0, len(order), 2048):
-            own = order[k : k + 2048]
+        for own in together([len(rows[i]) for i in order]):
+            own = order[own]
             lengths = np.array([len(rows[i]) for i in own])
             flat = crf.emissions(self.weights, np.array([f for i in own for f in rows[i]]))
             E = np.zeros((int(lengths.max()), len(own), len(LABELS)), np.float32)
@@ -227,6 +244,17 @@ class Field:
         return out
 
 
+def together(lengths: list[int]) -> Iterator[slice]:
+    """Slices of sorted lengths that come to TOKENS when padded, one run at least."""
+    at = 0
+    for i, n in enumerate(lengths):
+        if i > at and (i + 1 - at) * n > TOKENS:
+            yield slice(at, i)
+            at = i
+    if lengths:
+        yield slice(at, len(lengths))
+
+
 def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     """The token without quotes and stops at its edges."""
     while start < end - 1 and text[start] in EDGES:
@@ -251,8 +279,9 @@ def plausible(found: str, kind: str) -> bool:
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+#: What can't match from a digit run's start can't from its other digits: each run is tried once, without going back.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 

@@ -4,12 +4,14 @@ import hashlib
 import random
 import re
 import string
+import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from casegrid.llm import pii, secrets
+from casegrid.llm import crf, pii, secrets
 
 from .helpers import documents, odd_table
 
@@ -47,6 +49,42 @@ def test_addresses_by_their_at_signs(t):
     assert pii.emails(t) == [m.span() for m in EMAIL.finditer(t)]
 
 
+@given(st.text(alphabet="019. -+()x", max_size=60))
+@settings(max_examples=600, deadline=None)
+def test_patterns_without_going_back(t):
+    assert pii.written([(a, b, k) for k, v in pii.base_spans(t).items() for a, b in v]) == line(brute_pii(t))
+
+
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "1." * 500_000, "12 " * 30_000, "+1 " * 300_000, "a" * 500_000 + "@", "1a" * 100_000, "@" * 300_000])
+def test_hostile_texts_take_time_in_proportion(text):
+    field = pii.Field()
+    begun = time.monotonic()
+    pii.base_spans(text)
+    assert time.monotonic() - begun < 2
+    pii.all_spans([text], field)
+    assert time.monotonic() - begun < 40
+
+
+def test_long_runs_are_decoded_whole():
+    """A run of 700 tokens keeps its one best path, and so do runs that share a batch with it."""
+    field = pii.Field()
+    text = " ".join(["4111 1111 1111 1111", "+1 (415) 555-0132", "1999", "10.0.0.1"] * 70)
+    (tokens, word), = pii.runs(text)
+    assert len(tokens) > 500
+    rows = pii.run_features(text, tokens, word)
+    E = crf.emissions(field.weights, np.array(rows))[:, None]
+    want = crf.viterbi(E, np.array([len(rows)]), field.trans, field.start)[:, 0]
+    begins = [pii.trimmed(text, *tokens[i])[0] for i in np.flatnonzero(want) if pii.LABELS[want[i]].startswith("B")]
+    alone = field.find([text])[0]
+    assert alone and {s for s, _, _ in alone} <= set(begins)
+    assert field.find(["call 415-555-0123", text, "in 1999"])[1] == alone
+    old, pii.TOKENS = pii.TOKENS, 64
+    try:
+        assert field.find([text, "12 34", text])[2] == alone
+    finally:
+        pii.TOKENS = old
+
+
 def mixed_texts(seed, n=150):
     r = random.Random(seed)
     bits = [
