@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,10 @@ from .words import kept_table
 SAMPLE_PER_LANGUAGE, SAMPLE_CHARS, PIECES = 400, 4000, 8
 FOLDS, HELD = 5, 0
 #: SEQUENCES at least, and so many for each language, are learned from; all languages have their turn in them.
-BUCKETS, WIDTH, LEXICON, STEPS, SEQUENCES, SEQUENCES_PER_LANGUAGE, EPOCHS = 1 << 16, 32, 200, 64, 2500, 625, 5
+BUCKETS, LEXICON, STEPS, SEQUENCES, SEQUENCES_PER_LANGUAGE, EPOCHS = 1 << 16, 200, 64, 2500, 625, 5
+#: With so many languages at most, a text is read in blocks of STEPS words that are tied by their transfer matrices; with
+#: more, whose matrices cost too much, in one piece. Both give the chain's own probabilities.
+MOST_TIED = 12
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -52,8 +56,7 @@ class Tagger:
         self.lexicon: dict[str, tuple[int, ...]] = {}
 
     def features(self, word: str) -> list[int]:
-        """Buckets of one lower-case word: itself, lexicons, prefixes and suffixes to three, and its 2- and 3-grams as
-        far as WIDTH allows."""
+        """Buckets of one lower-case word: itself, lexicons, prefixes and suffixes to three, and all its 2- and 3-grams."""
         raw = word.encode("utf-8", "replace")
         line = b"^" + raw + b"$"
         found = [zlib.crc32(raw, 1), *(zlib.crc32(b"lexicon", 9 + k) for k in self.lexicon.get(word, ()))]
@@ -61,8 +64,7 @@ class Tagger:
         found += [zlib.crc32(word[-k:].encode("utf-8", "replace"), 3) for k in (1, 2, 3)]
         found += [zlib.crc32(line[i : i + 3], 5) for i in range(len(line) - 2)]
         found += [zlib.crc32(line[i : i + 2], 4) for i in range(len(line) - 1)]
-        own = [1 + x % (BUCKETS - 1) for x in found[:WIDTH]]
-        return own + [0] * (WIDTH - len(own))
+        return [1 + x % (BUCKETS - 1) for x in found]
 
     def fit(self, docs: list[tuple[str, str]]) -> None:
         """docs: (text, language). Sequences join spans of different documents, so that changes of language occur."""
@@ -95,29 +97,44 @@ class Tagger:
                 held, size = [], 0
         if held:
             sequences.append((np.concatenate([a for a, _ in held]), np.concatenate([np.full(len(a), x) for a, x in held])))
-        table = np.array([self.features(w) for w in ids]).reshape(len(ids), WIDTH)
+        table = crf.Ragged([self.features(w) for w in ids])
         self.weights, self.trans, self.start = crf.train(table, sequences, BUCKETS, len(self.languages), EPOCHS)
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        return crf.emissions(self.weights, np.array([self.features(w) for w in words]).reshape(len(words), WIDTH))
+        return crf.Ragged([self.features(w) for w in words]).sums(self.weights)
 
     def shares(self, table, ids: np.ndarray, lengths: np.ndarray, block: int = 1024) -> np.ndarray:
-        """[documents, languages] sums of the words' probabilities. Texts are read in sequences of STEPS words."""
+        """[documents, languages] sums of the words' probabilities, each text being one chain from its first word to its last."""
         out = np.zeros((len(lengths), len(self.languages)))
-        cuts = -(-lengths // STEPS)
+        most = STEPS if len(self.languages) <= MOST_TIED else max(1, int(lengths.max(initial=1)))
+        cuts = -(-lengths // most)
         doc = np.repeat(np.arange(len(lengths)), cuts)
         order_in = np.arange(len(doc)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-        first = np.repeat(np.cumsum(lengths) - lengths, cuts) + order_in * STEPS
-        size = np.minimum(STEPS, np.repeat(lengths, cuts) - order_in * STEPS)
-        by_size = np.argsort(size, kind="stable")
-        block = max(16, block * 4 // max(4, len(self.languages)))
+        first = np.repeat(np.cumsum(lengths) - lengths, cuts) + order_in * most
+        size = np.minimum(most, np.repeat(lengths, cuts) - order_in * most)
+        room = block * STEPS * 4 // max(4, len(self.languages))
+
+        def batches(chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            """Blocks of like size, as many as fit, with their emissions."""
+            chosen = chosen[np.argsort(size[chosen], kind="stable")]
+            while len(chosen):
+                n = max(1, int(np.searchsorted(size[chosen] * np.arange(1, len(chosen) + 1), room, side="right")))
+                own, chosen = chosen[:n], chosen[n:]
+                steps = np.arange(int(size[own].max()))[:, None]
+                yield own, table.rows[ids[np.minimum(first[own][None] + steps, len(ids) - 1)]]
+
+        long = np.flatnonzero(cuts[doc] > 1)
+        K = len(self.languages)
+        enter, leave = np.tile(np.exp(self.start - self.start.max()), (len(doc), 1)), np.ones((len(doc), K))
+        if len(long):
+            M = np.zeros((len(doc), K, K))
+            for own, E in batches(long):
+                M[own] = crf.transfers(E, size[own], self.trans)
+            enter[long], leave[long] = crf.carried(M[long], cuts[cuts > 1], self.trans, self.start)
         trans, start = self.trans.astype(np.float32), self.start.astype(np.float32)
-        for k in range(0, len(by_size), block):
-            own = by_size[k : k + block]
-            steps = np.arange(int(size[own].max()))[:, None]
-            at = np.minimum(first[own][None] + steps, len(ids) - 1)
-            gamma = crf.posteriors(table.rows[ids[at]], size[own], trans, start)
-            np.add.at(out, doc[own], gamma.sum(0))
+        for own, E in batches(np.arange(len(doc))):
+            gamma = crf.posteriors(E, size[own], trans, start, enter=enter[own], leave=leave[own])
+            np.add.at(out, doc[own], gamma.sum(0, dtype=np.float64))
         return out
 
 
