@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 import os
-import tempfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -14,25 +13,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..sources.materialize import checkpoint_folder
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package and give checkpoints a place.
 
-    ``spark.checkpoint.dir`` is read from the session and never replaced. Only where it is unset, as in local tests,
-    a folder of this process is used.
+    ``spark.checkpoint.dir`` is read from the session and never replaced. Only where it is unset, and the session local
+    as in tests, a folder of this process is used.
     """
     sc = spark.sparkContext
     known = sc.environment.get("PYTHONPATH", "")
     if ROOT not in known.split(os.pathsep):
         sc.environment["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, known) if x)
-    if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="casegrid-checkpoints-"))
+    checkpoint_folder(spark)
     return spark
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever store its path names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the input folder; the path may be in any store that Spark reads."""
     prepare(spark)
