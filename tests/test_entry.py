@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 
 import __spark_entry__ as entry
+from casegrid.sources.materialize import checkpoint_folder
 
 
 def test_contract(spark):
