@@ -138,13 +138,23 @@ class Tagger:
         return out
 
 
+def first_of_each(learn: DataFrame) -> DataFrame:
+    """(doc_id, lang) of the first SAMPLE_PER_LANGUAGE rows of each language by the hash of the id. Counts by the hash's
+    first bits tell which rows can't be among them, so that no task ranks all of a frequent language."""
+    coded = learn.withColumn("h", F.xxhash64("doc_id")).withColumn("cell", F.shiftright("h", 48))
+    counts = coded.groupBy("lang", "cell").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("cell")) - F.col("n")
+    last = counts.withColumn("before", before).where(F.col("before") < SAMPLE_PER_LANGUAGE).groupBy("lang").agg(F.max("cell").alias("last"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    return coded.join(last, "lang").where("cell <= last").withColumn("turn", turn).where(F.col("turn") <= SAMPLE_PER_LANGUAGE).select("doc_id", "lang")
+
+
 def fit(docs: DataFrame, doc_id: str = "doc_id") -> Tagger:
     """Fit on a bounded sample of each language's documents outside the held-out fold; only ids are broadcast."""
     common.prepare(docs.sparkSession)
     learn = docs.select(F.col(doc_id).alias("doc_id"), "lang").where("doc_id is not null and lang is not null").where(~common.held_out("doc_id", FOLDS, HELD))
     model = Tagger()
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = learn.withColumn("turn", turn).where(F.col("turn") <= SAMPLE_PER_LANGUAGE).select("doc_id", "lang")
+    chosen = first_of_each(learn)
     size, step = SAMPLE_CHARS // PIECES, f"(length(text) div {PIECES})"
     spread = f"transform(sequence(0, {PIECES - 1}), i -> substring(text, int(i * {step} + pmod(xxhash64(doc_id, i), {step} - {size} + 1)) + 1, {size}))"
     pieces = F.expr(f"if(length(text) <= {SAMPLE_CHARS}, text, array_join({spread}, ' '))").alias("text")

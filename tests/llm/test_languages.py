@@ -70,6 +70,15 @@ def test_all_grams_of_a_long_word_count():
     assert rows.sums(W).tolist() == [[6, 8], [6, 7], [16, 19]] and rows.sums(W, np.array([2, 0])).tolist() == [[16, 19], [6, 8]]
 
 
+def test_the_sample_is_the_first_of_each_language(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_PER_LANGUAGE", 30)
+    rows = [(i, x) for i, x in enumerate(["en"] * 900 + ["fr"] * 31 + ["de"] * 5)] + [(7, "en")]
+    table = spark.createDataFrame(rows, "doc_id long, lang string")
+    hashed = {r["doc_id"]: r["h"] for r in table.selectExpr("doc_id", "xxhash64(doc_id) as h").collect()}
+    want = [(i, x) for lang in ("en", "fr", "de") for _, i, x in sorted((hashed[i], i, x) for i, x in rows if x == lang)[:30]]
+    assert sorted(map(tuple, langid.first_of_each(table).collect())) == sorted(want)
+
+
 def test_empty_tables(spark):
     none = documents(spark, [])
     model = langid.fit(none)
