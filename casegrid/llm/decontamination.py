@@ -1,15 +1,21 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact verification.
 
 A window of a document has as many words as the item it is held against (all of a shorter document). Windows and
-items get 64-bit SimHashes of their five-word shingles. Item fingerprints stand in eight tables, one for each byte:
-two fingerprints within RADIUS = 24 bits differ by at most 3 bits in one byte at least, and each table lists for
-every byte value the items within 3 bits. So every pair within the radius is found; it is then verified by the exact
-weighted Jaccard similarity of the shingles, a shingle's weight being its count. Windows that share no shingle with
-any item have similarity 0 and are skipped, which is all that is skipped.
+items get 64-bit SimHashes of their five-word shingles, windows from running counts of the shingles' bits. Item
+fingerprints stand in four tables, one for each block of 16 bits: two fingerprints within RADIUS = 15 bits differ by
+at most 3 bits in one block at least, and each table lists for every block value the items within 3 bits. So every
+pair within the radius is found, and of unrelated pairs about 4 per cent are looked at.
+
+Candidates are verified by the exact weighted Jaccard similarity of the shingles, a shingle's weight being its count.
+Where a candidate's similarity is at least NEAR, all windows that overlap it are held against the item, so that a leak
+is found if any of its windows is within the radius. The radius is where a similarity of SIMILAR lies two deviations
+inside: an angle of 27 degrees, some 10 of 64 bits. A leak whose windows all lie beyond it is missed; the tests
+measure how rarely.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -23,12 +29,19 @@ from pyspark.sql import types as T
 
 from . import common
 
-SHINGLE, SIMILAR, RADIUS = 5, 0.8, 24
-#: A pass over the documents takes about so many characters of the benchmark; a larger benchmark takes more passes.
-PASS_CHARS = 4_000_000
+SHINGLE, SIMILAR, NEAR, RADIUS, BLOCKS = 5, 0.8, 0.5, 15, 4
+#: A pass over the documents takes items of about so many characters, and so many items and lengths; a larger benchmark takes
+#: more passes, each with items of neighbouring lengths, so that the windows of a length are made in one of them.
+PASS_CHARS, PASS_ITEMS, PASS_SIZES = 4_000_000, 2048, 256
+#: Words whose hashes a worker keeps, windows that are made at a time.
+MOST_WORDS, MOST_WORD_CHARS, ROWS = 300_000, 20_000_000, 4096
 WORD = re.compile(r"\w+")
 _r = np.random.default_rng(11)
 MIXERS = _r.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BITS = 64 // BLOCKS
+OFFSETS = np.arange(BLOCKS, dtype=np.intp) << BITS
+#: All differences of a block that some pair within the radius has in its closest block.
+DIFFERENCES = np.array(sorted(sum(1 << p for p in own) for k in range(RADIUS // BLOCKS + 1) for own in itertools.combinations(range(BITS), k)), np.uint16)
 
 
 def words_of(text: str) -> list[str]:
@@ -40,36 +53,79 @@ def shingles(words: list[str]) -> list[str]:
     return [" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))] if words else []
 
 
-def votes(parts: list[str]) -> np.ndarray:
-    """[shingles, 64]: +1 or -1 for each bit of a shingle's hash."""
-    h = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "replace"), 9) for x in parts], np.uint64)
-    return np.unpackbits(h.view(np.uint8), bitorder="little").reshape(-1, 64).astype(np.int32) * 2 - 1
+class Words:
+    """Hashes of words, kept by a worker while they are few."""
 
+    def __init__(self):
+        self.known: dict[str, int] = {}
+        self.chars = 0
 
-def sealed(sums: np.ndarray) -> np.ndarray:
-    """Sums of votes [n, 64] -> fingerprints [n]."""
-    return np.packbits(sums > 0, axis=1, bitorder="little").view(np.uint64)[:, 0]
+    def hashes(self, words: list[str]) -> np.ndarray:
+        if len(self.known) > MOST_WORDS or self.chars > MOST_WORD_CHARS:
+            self.known, self.chars = {}, 0
+        for w in set(words).difference(self.known):
+            self.known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 9)
+            self.chars += len(w)
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+
+
+def mixed(coded: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the k-word shingles of hashed words."""
+    n = max(0, len(coded) - k + 1)
+    x = np.zeros(n, np.uint64)
+    for j in range(k):
+        x += coded[j : j + n] * MIXERS[j]
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def running(hashes: np.ndarray, of: int) -> np.ndarray:
+    """[hashes + 1, 64]: how many of the hashes before have each bit. Counts wrap around, but the differences of those
+    that are up to ``of`` hashes apart don't: the narrowest numbers that allow it are the fastest."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    out = np.zeros((len(hashes) + 1, 64), np.uint8 if of < 1 << 8 else np.uint16 if of < 1 << 16 else np.int64)
+    np.cumsum(bits, 0, dtype=out.dtype, out=out[1:])
+    return out
+
+
+def sealed(counts: np.ndarray, of: int) -> np.ndarray:
+    """Counts of bits [n, 64] among so many hashes -> fingerprints [n]: bits that more than half of the hashes have."""
+    return np.packbits((counts > counts.dtype.type(of // 2)).reshape(-1), bitorder="little").view(np.uint64)
+
+
+def fingerprint(coded: np.ndarray) -> int:
+    """The SimHash of a sequence of hashed words (one at least)."""
+    h = mixed(coded, min(SHINGLE, len(coded)))
+    return int(sealed(running(h, len(h))[-1:], len(h))[0])
 
 
 class Sized:
-    """The items of one number of words, with their multi-index."""
+    """The items of one number of words, with their multi-index: for each eight of them the four tables, a table's entry
+    for a block value having a bit for each item that it lists."""
 
     def __init__(self, items: list[int], prints: np.ndarray):
-        self.items = np.array(items)
-        self.prints = prints
-        own = prints.view(np.uint8).reshape(-1, 8)
-        near = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)) <= RADIUS // 8
-        self.tables = [near[:, own[:, b]] for b in range(8)]
+        self.eights = []
+        for k in range(0, len(items), 8):
+            own = prints[k : k + 8]
+            tables = np.zeros((BLOCKS, 1 << BITS), np.uint8)
+            for i, blocks in enumerate(own.view(np.uint16).reshape(-1, BLOCKS)):
+                for b in range(BLOCKS):
+                    tables[b, blocks[b] ^ DIFFERENCES] |= np.uint8(1 << i)
+            self.eights.append((np.array(items[k : k + 8]), own, tables.reshape(-1)))
 
     def candidates(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) numbers of all pairs within the radius."""
-        values = windows.view(np.uint8).reshape(-1, 8)
-        listed = self.tables[0][values[:, 0]]
-        for b in range(1, 8):
-            listed = listed | self.tables[b][values[:, b]]
-        w, i = np.nonzero(listed)
-        close = np.bitwise_count(windows[w] ^ self.prints[i]) <= RADIUS
-        return w[close], self.items[i[close]]
+        """(window, item) numbers of all pairs within the radius; of those with one item, by window."""
+        places = windows.view(np.uint16).reshape(-1, BLOCKS) + OFFSETS
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for items, prints, tables in self.eights:
+            hits = tables.take(places, mode="clip")
+            at = hits.view(np.uint32).reshape(-1).nonzero()[0]
+            row, i = np.unpackbits(np.bitwise_or.reduce(hits[at], 1)[:, None], axis=1, bitorder="little").nonzero()
+            w = at[row]
+            close = np.bitwise_count(windows[w] ^ prints[i]) <= RADIUS
+            found.append((w[close], items[i[close]]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 class Index:
@@ -79,167 +135,186 @@ class Index:
         split = [(i, words_of(t)) for i, t in items]
         split = [(i, w) for i, w in split if w]
         self.ids = [i for i, _ in split]
-        self.number = {w: n for n, w in enumerate(dict.fromkeys(x for _, ws in split for x in ws), 1)}
         self.counts = [Counter(shingles(w)) for _, w in split]
-        self.sizes = np.array([len(w) for _, w in split])
-        prints = [sealed(votes(shingles(w)).sum(0)[None])[0] for _, w in split]
+        self.sizes = [len(w) for _, w in split]
         by_size: dict[int, list[int]] = defaultdict(list)
-        sizes_of: dict[int, set[int]] = defaultdict(set)
-        self.short: dict[str, list[int]] = defaultdict(list)
-        for n, (_, w) in enumerate(split):
-            by_size[len(w)].append(n)
-            if len(w) < SHINGLE:
-                self.short[w[0]].append(n)
-            else:
-                coded = np.array([self.number[x] for x in w], np.uint64)
-                for h in self.mixed(coded).tolist():
-                    sizes_of[h].add(len(w))
-        self.groups = {s: Sized(own, np.array([prints[n] for n in own])) for s, own in by_size.items()}
-        self.hashes = np.array(sorted(sizes_of), np.uint64)
-        self.hash_sizes = [sorted(sizes_of[h]) for h in self.hashes.tolist()]
-
-    @staticmethod
-    def mixed(coded: np.ndarray) -> np.ndarray:
-        n = len(coded) - SHINGLE + 1
-        out = np.zeros(max(n, 0), np.uint64)
-        for j in range(SHINGLE if n > 0 else 0):
-            x = coded[j : j + n] * MIXERS[j]
-            out += x ^ (x >> np.uint64(29))
-        return out
-
-    def similarity(self, item: int, parts: list[str]) -> float:
-        """Weighted Jaccard of an item and a window, exact."""
-        own, other = self.counts[item], Counter(parts)
-        both = sum(min(c, own[x]) for x, c in other.items())
-        return both / (own.total() + other.total() - both)
+        for n, size in enumerate(self.sizes):
+            by_size[size].append(n)
+        words = Words()
+        self.groups = {s: Sized(own, np.array([fingerprint(words.hashes(split[n][1])) for n in own], np.uint64)) for s, own in sorted(by_size.items())}
 
     def matches(self, texts: list[str]) -> list[dict[int, tuple[float, int]]]:
         """For each text: item number -> (highest similarity of a window, if at least SIMILAR; the first such window's first word)."""
         split = [words_of(t) for t in texts]
-        lengths = np.array([len(w) for w in split])
-        get = self.number.get
-        coded = np.fromiter((get(x, 0) for w in split for x in w), np.uint64, int(lengths.sum()))
         out: list[dict[int, tuple[float, int]]] = [{} for _ in texts]
-        for size in [s for s in self.groups if s < SHINGLE]:
-            self._short(split, size, out)
-        if not len(self.hashes) or len(coded) < 1:
+        lengths = np.array([len(w) for w in split], np.int64)
+        if not self.groups or not lengths.sum():
             return out
-        first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        known = (coded > 0).astype(np.int8)
-        whole = np.convolve(known, np.ones(SHINGLE, np.int8), "valid") == SHINGLE if len(coded) >= SHINGLE else np.zeros(0, bool)
-        at = np.flatnonzero(whole)
-        if len(at):
-            cells = coded[at[:, None] + np.arange(SHINGLE)]
-            x = cells * MIXERS
-            h = (x ^ (x >> np.uint64(29))).sum(1, dtype=np.uint64)
-            place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            good = self.hashes[place] == h
-            at, place = at[good], place[good]
-            doc = np.searchsorted(first, at, side="right") - 1
-            good = at + SHINGLE <= first[doc] + lengths[doc]
-            at, place, doc = at[good], place[good], doc[good]
-            cuts = np.flatnonzero(doc[1:] != doc[:-1]) + 1
-            for own in np.split(np.arange(len(at)), cuts) if len(at) else []:
-                d = int(doc[own[0]])
-                self._document(split[d], (at[own] - first[d]).tolist(), place[own].tolist(), out[d])
+        ends = np.cumsum(lengths)
+        coded = common.kept("benchmark words", Words).hashes([w for d in split for w in d])
+        hits: dict[tuple[int, int], list[int]] = defaultdict(list)
+        for p, item in self._windows(coded, np.repeat(ends, lengths)):
+            d = int(np.searchsorted(ends, p, side="right"))
+            hits[d, item].append(p - int(ends[d] - lengths[d]))
+        for d, item in self._short(coded, lengths, ends):
+            hits[d, item].append(0)
+        for (d, item), at in sorted(hits.items()):
+            if (best := self.best(split[d], item, at))[0] >= SIMILAR:
+                out[d][item] = best
         return out
 
-    def _document(self, words: list[str], at: list[int], place: list[int], found: dict[int, tuple[float, int]]) -> None:
-        starts: dict[int, list[int]] = defaultdict(list)
-        for p, k in zip(at, place, strict=True):
-            for size in self.hash_sizes[k]:
-                starts[size].append(p)
-        for size, hits in starts.items():
-            n = min(size, len(words))
-            m = max(1, n - SHINGLE + 1)
-            last = len(words) - n
-            lo = hi = -1
-            spans = []
-            for p in hits:  # windows that hold a hit, as ranges of first words
-                a, b = max(0, p - m + 1), min(p, last)
-                if b < a:
-                    continue
-                if spans and a <= hi + 1:
-                    hi = max(hi, b)
-                    spans[-1] = (lo, hi)
-                else:
-                    lo, hi = a, b
-                    spans.append((lo, hi))
-            for a, b in spans:
-                parts = shingles(words[a : b + n])
-                sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(votes(parts), 0, dtype=np.int32)])
-                windows = sealed(sums[m:] - sums[: len(sums) - m])
-                for w, item in zip(*(x.tolist() for x in self.groups[size].candidates(windows)), strict=True):
-                    best = found.get(item, (0.0, 0))
-                    if best[0] == 1.0:
-                        continue
-                    s = self.similarity(item, parts[w : w + m])
-                    if s >= SIMILAR and s > best[0]:
-                        found[item] = (s, a + w)
-
-    def _short(self, split: list[list[str]], size: int, out: list[dict[int, tuple[float, int]]]) -> None:
-        """Items of fewer words than a shingle: windows that equal them in full (their one shingle), where they start."""
-        group = self.groups[size]
-        wanted = {next(iter(self.counts[n])): [] for n in group.items.tolist()}
-        for n in group.items.tolist():
-            wanted[next(iter(self.counts[n]))].append(n)
-        for words, found in zip(split, out, strict=True):
-            for p, w in enumerate(words):
-                if w in self.short and (own := " ".join(words[p : p + size])) in wanted and p + size <= len(words):
-                    prints = sealed(votes([own]))
-                    for item in group.candidates(prints)[1].tolist():
-                        if item not in found and self.similarity(item, [own]) >= SIMILAR:
-                            found[item] = (1.0, p)
+    def _windows(self, coded: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(first word, item) of the windows within the radius of an item of their length, inside one document."""
+        for k in range(1, SHINGLE):
+            if k in self.groups:
+                yield from self._of_size(k, mixed(coded, k), 0, end)
+        sizes = [s for s in self.groups if s >= SHINGLE]
+        if not sizes or len(coded) < SHINGLE:
+            return
+        hashes = mixed(coded, SHINGLE)
+        for least, most in ((0, 1 << 8), (1 << 8, 1 << 16), (1 << 16, max(sizes) + 1)):
+            own = {s: s - SHINGLE + 1 for s in sizes if least <= s - SHINGLE + 1 < most}
+            if not own:
+                continue
+            longest = max(own.values())
+            step = max(ROWS, longest)
+            for a in range(0, len(hashes), step):
+                counts = running(hashes[a : a + step + longest - 1], longest)
+                for s, m in own.items():
+                    n = min(step, len(counts) - m)
+                    if n > 0:
+                        yield from self._of_size(s, sealed(counts[m : m + n] - counts[:n], m), a, end)
+
+    def _of_size(self, size: int, prints: np.ndarray, at: int, end: np.ndarray) -> Iterator[tuple[int, int]]:
+        w, items = self.groups[size].candidates(prints)
+        inside = w + at + size <= end[w + at]
+        yield from zip((w[inside] + at).tolist(), items[inside].tolist(), strict=True)
+
+    def _short(self, coded: np.ndarray, lengths: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(document, item) within the radius where the document is shorter than the item, yet has shingles enough."""
+        docs = np.flatnonzero((lengths >= SHINGLE) & (lengths < max(self.groups)))
+        if not len(docs):
+            return
+        prints = np.array([fingerprint(coded[ends[d] - lengths[d] : ends[d]]) for d in docs.tolist()], np.uint64)
+        for size, group in self.groups.items():
+            own = np.flatnonzero((lengths[docs] < size) & (lengths[docs] - SHINGLE + 1 >= SIMILAR * (size - SHINGLE + 1)))
+            if len(own):
+                w, items = group.candidates(prints[own])
+                yield from zip(docs[own[w]].tolist(), items.tolist(), strict=True)
+
+    def best(self, words: list[str], item: int, at: list[int]) -> tuple[float, int]:
+        """The highest similarity of the windows around the given ones, and the first window that has it; (0, 0) if
+        none of the given ones is near the item."""
+        own, n = self.counts[item], min(self.sizes[item], len(words))
+        if n < SHINGLE:  # one shingle, equal or not
+            return next(((1.0, p) for p in at if shingles(words[p : p + n])[0] in own), (0.0, 0))
+        m, last, total = n - SHINGLE + 1, len(words) - n, own.total()
+        best, done = (0.0, 0), -1
+        for p in at:
+            if p <= done:
+                continue
+            parts = Counter(shingles(words[p : p + n]))
+            both = sum(min(c, own[x]) for x, c in parts.items())
+            if both < NEAR * (total + m - both):
+                continue
+            first = max(done + 1, p - n)
+            done = min(last, p + n)
+            line = shingles(words[first : done + n])
+            seen = Counter(line[:m])
+            both = sum(min(c, own[x]) for x, c in seen.items())
+            for q in range(first, done + 1):
+                if q > first:
+                    gone, new = line[q - first - 1], line[q - first + m - 1]
+                    both -= seen[gone] <= own[gone]
+                    seen[gone] -= 1
+                    seen[new] += 1
+                    both += seen[new] <= own[new]
+                if (s := both / (total + m - both)) > best[0]:
+                    best = s, q
+        return best
 
 
 def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[Index]:
-    """The benchmark in parts of bounded size, dealt by a hash of the item's id. Items whose id or text is null are left out."""
+    """The benchmark in parts of bounded size, by length and then a hash of the item's id. Items whose id or text is
+    null are left out."""
     own = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")).where("item_id is not null and text is not null").distinct()
-    total = own.agg(F.sum(F.length("text"))).first()[0] or 0
-    passes = 1 + total // PASS_CHARS
-    for k in range(passes):
-        rows = own.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k).collect()
-        yield Index(sorted((r["item_id"], r["text"]) for r in rows))
+    size = F.size(F.split(F.trim("text"), r"\W+"))  # about the number of words; which part an item is in changes nothing
+    own = own.select("item_id", "text", size.alias("size"))
+    held = own.groupBy("size").agg(F.count(F.lit(1)).alias("items"), F.sum(F.length("text")).alias("chars")).orderBy("size").collect()  # one row a length
+    parts: list[tuple[list[int], int]] = []  # lengths that share a pass, or one length and its number of passes
+    room = 0.0
+    for r in held:
+        need = max(r["items"] / PASS_ITEMS, (r["chars"] or 0) / PASS_CHARS, 1 / PASS_SIZES)
+        if not parts or parts[-1][1] > 1 or need > 1 or room + need > 1:
+            parts.append(([], max(1, int(np.ceil(need)))))
+            room = 0.0
+        parts[-1][0].append(r["size"])
+        room += need
+    for sizes, times in parts or [([], 1)]:
+        here = own.where(F.col("size").between(sizes[0], sizes[-1])) if sizes else own
+        for k in range(times):
+            rows = here.where(F.pmod(F.xxhash64("item_id"), F.lit(times)) == k).select("item_id", "text").collect()
+            yield Index(sorted((r["item_id"], r["text"]) for r in rows))
 
 
 RESULT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("item_id", T.LongType()), T.StructField("similarity", T.DoubleType()), T.StructField("first_word", T.LongType())])
 
 
+def passes(benchmark: DataFrame) -> Iterator[tuple[Index, bool]]:
+    """Each part of the benchmark with whether it is the only one."""
+    parts = indexes(benchmark)
+    now = next(parts)
+    following = next(parts, None)
+    yield now, following is None
+    while following is not None:
+        yield following, False
+        following = next(parts, None)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, similarity, first_word): each document with each benchmark item that one of its windows
     resembles at SIMILAR or more, with the best such window (the first, at ties).
 
     Null texts are empty and match nothing; a null doc_id stays null; items that repeat an id are held against
-    documents one by one and each gives its rows. Empty tables give no rows; other columns are ignored.
+    documents one by one and each gives its rows. Empty tables give no rows; other columns are ignored. Where the
+    benchmark takes several passes, each one's rows are written before the next, so that one index is held at a time.
     """
     common.prepare(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     arrow = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64())])
-    parts = []
-    for index in indexes(benchmark):
+    out = None
+    for index, alone in passes(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
-        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value
             for batch in batches:
                 for part in common.pieces(batch):
                     rows = [(d, index.ids[n], s, p) for d, m in zip(part.column(0).to_pylist(), index.matches(common.texts(part, "text")), strict=True) for n, (s, p) in sorted(m.items())]
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
-        parts.append(source.mapInArrow(run, RESULT))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
+        found = source.mapInArrow(run, RESULT)
+        if not alone:
+            found = found.checkpoint()
+            shared.unpersist()
+        out = found if out is None else out.unionByName(found)
     return out
 
 
 def without(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item leaks; each part of the benchmark is one narrow pass."""
+    """The documents in which no benchmark item leaks, with their own columns. Null and empty texts stay; repeated rows
+    share a fate; an empty benchmark leaves all. Each part of the benchmark is one narrow pass, written before the next."""
     common.prepare(docs.sparkSession)
     out = docs
-    for index in indexes(benchmark):
+    for index, alone in passes(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
-        def make(index: Index = index):
-            return lambda batch: [[bool(m) for m in index.matches(common.texts(batch, "text"))]]
+        def make(shared=shared):
+            return lambda batch: [[bool(m) for m in shared.value.matches(common.texts(batch, "text"))]]
 
-        out = common.with_arrow(out, [T.StructField("_leaks", T.BooleanType())], make).where("not _leaks").select(*docs.columns)
+        out = common.with_arrow(out, [T.StructField("_leaks", T.BooleanType())], make, keeps=True).where("not _leaks").select(*docs.columns)
+        if not alone:
+            out = out.checkpoint()
+            shared.unpersist()
     return out
