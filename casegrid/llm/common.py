@@ -121,13 +121,16 @@ def clear_labels(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
     return labels.where(F.col(doc_id).isNotNull() & one.isin(0, 1)).groupBy(F.col(doc_id).alias("doc_id")).agg(F.min(one).alias("y"), F.max(one).alias("most")).where("y = most").select("doc_id", "y")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, modulus: int, rest: int, doc_id: str = "doc_id") -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, modulus: int, rest: int, doc_id: str = "doc_id", present: bool = False) -> DataFrame:
     """(doc_id, text, y) of at most ``per_class`` labelled documents of each class outside the held-out fold.
 
     The sample is the first ids by hash, so it is the same in each run. Only its ids (a bounded number) are broadcast;
-    no text is shuffled.
+    no text is shuffled. ``present``: labels that no row of docs has are left out before the sample is taken, so that
+    docs may be fewer than the labelled ones without making it smaller.
     """
     learn = clear_labels(labels, doc_id, label).where(~held_out("doc_id", modulus, rest))
+    if present:
+        learn = learn.join(docs.where("text is not null").select(F.col(doc_id).alias("doc_id")), "doc_id", "left_semi")
     first = lambda y: learn.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
     chosen = first(0).unionByName(first(1))
     return docs.select(F.col(doc_id).alias("doc_id"), "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
