@@ -1,6 +1,6 @@
 """Quality classifier: regularised quadratic discriminant over transformed document statistics.
 
-Each class has a Gaussian over twelve smoothed log statistics of a text. The class covariances shrink towards the
+Each class has a Gaussian over thirteen smoothed log statistics of a text. The class covariances shrink towards the
 pooled one and towards a sphere; their Cholesky factors are inverted once and kept, so a score is two matrix products:
 the difference of the log densities, put on the probability scale by a logistic fit on the sample.
 """
@@ -142,7 +142,11 @@ def scored(docs: DataFrame, model: Discriminant, keep: list[str], text: str = "t
 
 
 def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier doesn't reject, with their own columns."""
+    """The documents that the classifier doesn't reject, with their own columns. Where not both classes are labelled,
+    there is nothing to tell them by, and all stay."""
     common.prepare(docs.sparkSession)
+    model = fit(docs, labels)
+    if model.constant is not None:
+        return docs
     names = ("_quality_score", "_quality_predicted")
-    return scored(docs, fit(docs, labels), docs.columns, names=names).where(F.col(names[1]) == 1).select(*docs.columns)
+    return scored(docs, model, docs.columns, names=names).where(F.col(names[1]) == 1).select(*docs.columns)

@@ -17,8 +17,8 @@ from casegrid.llm.queries import TOKENIZER
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled ones, doesn't reject.
 
-    Null and empty texts are scored like any other. Without labels of both classes there is nothing to reject by but
-    their one class; with none all documents stay. Repeated rows share a fate; other columns are kept as they are.
+    Null and empty texts are scored like any other. Without labels of both classes all documents stay. Repeated rows
+    share a fate; other columns are kept as they are.
     """
     return quality.kept(docs, common.table(spark, sf_dir, "labels"))
 

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from casegrid.llm import common, decontamination, pii
 
-from .helpers import DOCUMENTS, LABELS, labelled_corpus, prose
+from .helpers import DOCUMENTS, LABELS, labelled_corpus, odd_table, prose
 from .test_simhash import brute_components, brute_fingerprint
 from .test_spans import brute_pii
 
@@ -67,3 +67,32 @@ def test_stages(spark, folder, tmp_path):
     assert sizes == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in masked.items()}
     whole = sorted(json.dumps(r.asDict(), sort_keys=True) for r in corpus_pipeline.run(spark, base).select("doc_id", "piece", "start", "length", "ids_crc32").collect())
     assert whole == sorted(json.dumps(r.asDict(), sort_keys=True) for r in docs.select("doc_id", "piece", "start", "length", "ids_crc32").collect())
+
+
+def odd_folder(spark, base, docs, labels, items):
+    docs.write.parquet(f"{base}/documents.parquet")
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{base}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
+    return str(base)
+
+
+def test_odd_documents(spark, tmp_path):
+    """Nulls, empty and long texts, ties, repeated rows and clashing columns, with labels of one class and null items."""
+    base = odd_folder(spark, tmp_path, odd_table(spark), [(4, 1, 0), (None, 0, 0), (6, None, None)], [(1, "long words here " * 5), (2, None), (None, "x")])
+    got = corpus_pipeline.run(spark, base).collect()
+    # 2 and 3 have no words, like the null text of 1; 5 repeats 4; 9 leaks item 1; without an id, all stay
+    assert {r["doc_id"] for r in got} == {None, 1, 4, 6, 7, 8, 10, -3}
+    ends = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 4096
+
+
+def test_empty_tables(spark, tmp_path):
+    docs, labels = labelled_corpus(seed=3, n=60)
+    rows = [(i, t, x, "s", len(t)) for i, t, x in docs]
+    table = spark.createDataFrame(rows, DOCUMENTS)
+    none = corpus_pipeline.run(spark, odd_folder(spark, tmp_path / "a", table.limit(0), [], []))
+    assert none.count() == 0 and {"doc_id", "piece", "sequence_id"} <= set(none.columns)
+    assert corpus_pipeline.run(spark, odd_folder(spark, tmp_path / "b", table, [], [])).select("doc_id").distinct().count() > 50
