@@ -3,12 +3,13 @@
 Positions come without any UDF: splitting a text by a pattern gives the pieces between its matches, extracting gives
 the matches, and running sums of their lengths are the spans, in code points.
 
-The battery reads maximal runs of letters, digits and ``+/_=-`` with a digit, of 20 characters or more. A token's
-encoding is inferred from its characters (hexadecimal, base 32, base 64); all-digit tokens have none and are not tested. Two
-questions are asked of it. Could it be random? Chi-squared uniformity over the encoding's alphabet, runs above and
-below its middle, and lag-one serial correlation must not speak against it. Could it be ordinary writing? The
-number of equal character pairs, the changes between capitals, small letters and digits, and the serial correlation are
-held against their distributions in words and identifiers and combined to one p-value, which falls with length.
+The battery reads maximal runs of letters, digits and ``+/_-`` of 20 characters or more. A token's encoding is inferred
+from its characters (hexadecimal, base 32, base 36, letters alone, base 64; ``-`` and ``_`` between characters of the
+smaller alphabets count as separators). All-digit tokens, and lower-case ones with ``+`` or ``/`` as paths have, are of
+none and are not tested. Three tests are made in the encoding's alphabet: chi-squared uniformity, the number of runs
+about the alphabet's cut, and lag-one serial correlation. Each is asked two questions. Could the token be random? None
+of the three may speak against it. Could it be ordinary writing? The three statistics are held against what they are in
+words and identifiers, and Stouffer's method combines them to one p-value, which falls with length.
 Benjamini-Hochberg, in each class of length by itself, bounds the share of ordinary tokens among those reported.
 """
 
@@ -24,13 +25,29 @@ KINDS = ("assign", "access", "hex")
 MORE = "random"
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS, HEX = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"
-RUN = "(?<![A-Za-z0-9+/_=-])[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*+"
+RUN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+=*+"
 SHORTEST, FALSE_SHARE, LEAST_P = 20, 0.001, 0.001
-#: Ordinary writing: chance of equal characters in a pair, the sum of cubed letter shares, chance of a change of class (in one case, in both), mean serial correlation.
-SAME_PAIR, CUBES, CHANGE, CHANGE_BOTH, SERIAL = 0.065, 0.0052, 0.15, 0.3, 0.3
 BINS_PER_UNIT, MOST_BIN = 20, 600
-LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-ALPHABETS = {"hex": DIGITS + "abcdef", "hex upper": DIGITS + "ABCDEF", "base32": UPPER + "234567", "base64": UPPER + LOWER + DIGITS + "+/"}
+LOWER, UPPER, DIGITS, VOWELS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "aeiou"
+CONSONANTS = "".join(c for c in LOWER if c not in VOWELS)
+#: Ordinary writing: chance of equal characters in a pair, and the sum of cubed letter shares, whose excess over the square of that chance spreads it.
+SAME_PAIR, CUBES = 0.065, 0.0052
+#: Encodings in the order in which they are tried: pattern of the token, its alphabet in two parts with the cut between,
+#: what ordinary writing has of it (changes of part from one character to the next, serial correlation), and whether
+#: random tokens have more changes than that (and less correlation) or fewer (and more).
+ENCODINGS = [
+    ("^[0-9-_]*=*$", None, None, 0, 0, 0),
+    ("^[0-9a-f_-]*[0-9][0-9a-f_-]*$", DIGITS, "abcdef", 0.15, 0.3, 1),
+    ("^[0-9A-F_-]*[0-9][0-9A-F_-]*$", DIGITS, "ABCDEF", 0.15, 0.3, 1),
+    ("^[A-Z_-]+=*$", VOWELS.upper(), CONSONANTS.upper(), 0.6, -0.25, -1),
+    ("^[a-z_-]+=*$", VOWELS, CONSONANTS, 0.6, -0.25, -1),
+    ("^[A-Z2-7_-]+=*$", "234567", UPPER, 0.15, 0.3, 1),
+    ("^[a-z2-7_-]+=*$", "234567", LOWER, 0.15, 0.3, 1),
+    ("^[A-Z0-9_-]+=*$", DIGITS, UPPER, 0.15, 0.3, 1),
+    ("^[a-z0-9_-]+=*$", DIGITS, LOWER, 0.15, 0.3, 1),
+    ("^[A-Za-z_-]+=*$", LOWER, UPPER, 0.3, 0.3, 1),
+    ("[A-Z].*[a-z]|[a-z].*[A-Z]", LOWER, UPPER + DIGITS + "+/", 0.3, 0.3, 1),
+]
 
 
 def quoted(pattern: str) -> str:
@@ -50,49 +67,46 @@ def spans(pattern: str, group: int | None = None) -> str:
     return f"if(t rlike {p}, aggregate({rows}, named_struct('at', 0L, 'out', {none}), (a, m) -> {step}, a -> a.out), {none})"
 
 
+def encoding(x: str) -> str:
+    """SQL for the encoding of a token: its alphabet, the part of each of its characters, and ordinary writing's figures."""
+    when = []
+    for pattern, first, second, change, serial, sign in ENCODINGS:
+        made = "null" if first is None else f"named_struct('a', '{first + second}', 'p', '{'a' * len(first) + 'b' * len(second)}', 'c', {change}D, 's', {serial}D, 'w', {sign}D)"
+        when.append(f"when {x} rlike {quoted(pattern)} then {made}")
+    return f"case {' '.join(when)} end"
+
+
 def battery() -> str:
     """SQL for one token c of (s, e, x): its class of length and the bin of its p-value; null if it isn't tested or
     can't be random."""
-    x = "c.x"
-    size = f"length({x})"
-    kinds = f"""case when {x} rlike '^[0-9]+$' then null
-        when {x} rlike '^[0-9a-f]+$' then named_struct('k', 16, 'a', '{ALPHABETS["hex"]}')
-        when {x} rlike '^[0-9A-F]+$' then named_struct('k', 16, 'a', '{ALPHABETS["hex upper"]}')
-        when {x} rlike '^[A-Z2-7]+=*$' then named_struct('k', 32, 'a', '{ALPHABETS["base32"]}')
-        when {x} rlike '[A-Z]' and {x} rlike '[a-z]' then named_struct('k', 64, 'a', '{ALPHABETS["base64"]}') end"""
-    body = "translate(rtrim('=', c.x), '-_', '+/')"
-    counted = f"named_struct('enc', {kinds}, 'body', {body}, 's', c.s, 'e', c.e)"
-    # from here on y is that struct; v are the characters' places in the alphabet
-    values = "transform(split(y.body, ''), ch -> cast(locate(ch, y.enc.a) as double))"
-    squares = "aggregate(transform(array_distinct(split(y.body, '')), ch -> length(y.body) - length(replace(y.body, ch, ''))), 0D, (a, n) -> a + n * n)"
-    classes = f"translate(y.body, '{LOWER + UPPER + DIGITS}+/', '{'a' * 26 + 'b' * 26 + 'c' * 10}dd')"
-    changes = f"(length(regexp_replace({classes}, r'(.)\\1+', '$1')) - 1)"
-    measured = f"named_struct('k', cast(y.enc.k as double), 'n', cast(length(y.body) as double), 'q', {squares}, 'c', cast({changes} as double), 'v', {values}, 's', y.s, 'e', y.e)"
-    # z: k, n, q, c, v
-    mean = "aggregate(z.v, 0D, (a, b) -> a + b) / z.n"
-    above = "transform(z.v, b -> b > (z.k + 1) / 2)"
-    high = f"size(filter({above}, b -> b))"
-    runs = f"1 + size(filter(zip_with(slice({above}, 1, int(z.n) - 1), slice({above}, 2, int(z.n) - 1), (a, b) -> a <> b), b -> b))"
-    series = f"named_struct('k', z.k, 'n', z.n, 'q', z.q, 'c', z.c, 'v', z.v, 'm', {mean}, 'h', cast({high} as double), 'r', cast({runs} as double), 's', z.s, 'e', z.e)"
-    # w: adds m, h, r
+    full = f"length(y.enc.a) = {len(LOWER + UPPER + DIGITS) + 2}"  # base 64 has signs of its own; elsewhere they separate
+    read = f"named_struct('enc', {encoding('c.x')}, 'x', rtrim('=', c.x), 's', c.s, 'e', c.e)"
+    body = f"named_struct('enc', y.enc, 'x', if({full}, translate(y.x, '-_', '+/'), translate(y.x, '-_', '')), 's', y.s, 'e', y.e)"
+    # y has the token's characters x; z their number n, squares q of each one's count, cut parts t and places v
+    squares = "aggregate(transform(array_distinct(split(y.x, '')), ch -> length(y.x) - length(replace(y.x, ch, ''))), 0D, (a, n) -> a + n * n)"
+    places = "transform(split(y.x, ''), ch -> cast(locate(ch, y.enc.a) as double))"
+    measured = f"named_struct('enc', y.enc, 'k', cast(length(y.enc.a) as double), 'n', cast(length(y.x) as double), 'q', {squares}, 't', translate(y.x, y.enc.a, y.enc.p), 'v', {places}, 's', y.s, 'e', y.e)"
+    # w adds the mean place m, the number h of characters before the cut and the number r of runs
+    series = r"named_struct('enc', z.enc, 'k', z.k, 'n', z.n, 'q', z.q, 'v', z.v, 'm', aggregate(z.v, 0D, (a, b) -> a + b) / z.n, 'h', cast(length(replace(z.t, 'b', '')) as double), 'r', cast(length(regexp_replace(z.t, r'(.)\1+', '$1')) as double), 's', z.s, 'e', z.e)"
     spread = "aggregate(w.v, 0D, (a, b) -> a + (b - w.m) * (b - w.m))"
     lag = "aggregate(zip_with(slice(w.v, 1, int(w.n) - 1), slice(w.v, 2, int(w.n) - 1), (a, b) -> (a - w.m) * (b - w.m)), 0D, (a, b) -> a + b)"
+    serial = f"({lag} / greatest({spread}, 1e-9D))"
+    # random: chi-squared by Wilson and Hilferty, runs by Wald and Wolfowitz
     chi = "(w.k * w.q / w.n - w.n)"
-    hilferty = f"((power(greatest({chi}, 0D) / (w.k - 1), 1D / 3) - (1 - 2D / (9 * (w.k - 1)))) / sqrt(2D / (9 * (w.k - 1))))"
+    chi_z = f"((power(greatest({chi}, 0D) / (w.k - 1), 1D / 3) - (1 - 2D / (9 * (w.k - 1)))) / sqrt(2D / (9 * (w.k - 1))))"
     expect = "(1 + 2 * w.h * (w.n - w.h) / w.n)"
-    run_z = f"(abs(w.r - {expect}) / sqrt(greatest(({expect} - 1) * ({expect} - 2) / (w.n - 1), 1e-9D)))"
-    pairs = "((w.q - w.n) / 2)"
-    text_pairs = f"(w.n * (w.n - 1) / 2 * {SAME_PAIR}D)"
-    text_var = f"({text_pairs} * {1 - SAME_PAIR}D + w.n * (w.n - 1) * (w.n - 2) * {CUBES - SAME_PAIR**2}D)"
-    pair_z = f"(({text_pairs} - {pairs}) / sqrt({text_var}))"
-    change = f"if(w.k = 64, {CHANGE_BOTH}D, {CHANGE}D)"
-    change_z = f"((w.c - {change} * (w.n - 1)) / sqrt({change} * (1 - {change}) * (w.n - 1)))"
-    serial = f"({lag} / greatest({spread}, 1e-9D))"
-    tested = f"named_struct('s', w.s, 'e', w.e, 'n', w.n, 'chi', {hilferty}, 'runs', {run_z}, 'serial', abs({serial}) * sqrt(w.n), 'text', ({pair_z} + {change_z} + ({SERIAL}D - {serial}) * sqrt(w.n)) / sqrt(3D))"
-    steps = [("y", counted, "c"), ("z", measured, "y"), ("w", series, "z"), ("u", tested, "w")]
-    out = f"transform(filter(found, c -> {size} >= {SHORTEST}), c -> {counted})"
-    out = f"filter({out}, y -> y.enc is not null and length(y.body) >= {SHORTEST})"
-    for _, made, name in steps[1:]:
+    runs_z = f"(abs(w.r - {expect}) / sqrt(greatest(({expect} - 1) * ({expect} - 2) / (w.n - 1), 1e-9D)))"
+    # ordinary: chi-squared grows with the number of equal pairs, which has a mean and a spread in writing; so have the runs
+    equal, mean = "((w.q - w.n) / 2)", f"(w.n * (w.n - 1) / 2 * {SAME_PAIR}D)"
+    chi_text = f"(({mean} - {equal}) / sqrt({mean} * {1 - SAME_PAIR}D + w.n * (w.n - 1) * (w.n - 2) * {CUBES - SAME_PAIR**2}D))"
+    runs_text = "(w.enc.w * (w.r - 1 - w.enc.c * (w.n - 1)) / sqrt(w.enc.c * (1 - w.enc.c) * (w.n - 1)))"
+    serial_text = "(w.enc.w * (w.enc.s - w.serial) * sqrt(w.n))"
+    correlated = f"named_struct('enc', w.enc, 'k', w.k, 'n', w.n, 'q', w.q, 'h', w.h, 'r', w.r, 'serial', {serial}, 's', w.s, 'e', w.e)"
+    tested = f"named_struct('s', w.s, 'e', w.e, 'n', w.n, 'chi', {chi_z}, 'runs', {runs_z}, 'serial', abs(w.serial) * sqrt(w.n), 'text', ({chi_text} + {runs_text} + {serial_text}) / sqrt(3D))"
+    out = f"transform(filter(found, c -> length(c.x) >= {SHORTEST}), c -> {read})"
+    out = f"transform(filter({out}, y -> y.enc is not null), y -> {body})"
+    out = f"filter({out}, y -> length(y.x) >= {SHORTEST})"
+    for made, name in ((measured, "y"), (series, "z"), (correlated, "w"), (tested, "w")):
         out = f"transform({out}, {name} -> {made})"
     tail = lambda z: f"if({z} >= 0, 0.5D * exp(-0.717D * {z} - 0.416D * {z} * {z}), 1 - 0.5D * exp(0.717D * {z} - 0.416D * {z} * {z}))"
     out = f"filter({out}, u -> {tail('u.chi')} >= {LEAST_P}D and 2 * {tail('u.runs')} >= {LEAST_P}D and 2 * {tail('u.serial')} >= {LEAST_P}D)"

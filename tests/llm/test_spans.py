@@ -1,10 +1,12 @@
 """Personal data and secrets against the patterns run by Python's own regular expressions."""
 
 import hashlib
+import math
 import random
 import re
 import string
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -174,6 +176,108 @@ def test_battery(spark, kind):
         assert all(got[i] == f"random:6:{6 + len(tokens[i])}" for i in hits)
 
 
+VOWELS, CONSONANTS = "aeiou", "bcdfghjklmnpqrstvwxyz"
+
+
+def brute_encoding(x):
+    """(alphabet's two parts, ordinary chance of a change, ordinary serial correlation, sign) of a token; None: not tested."""
+    body = x.rstrip("=")
+    core = body.replace("-", "").replace("_", "")
+    low, up, dig = (any(c in a for c in core) for a in (string.ascii_lowercase, string.ascii_uppercase, string.digits))
+    if low and up and (dig or "+" in core or "/" in core):
+        return string.ascii_lowercase, string.ascii_uppercase + string.digits + "+/", 0.3, 0.3, 1
+    if "+" in core or "/" in core or not (low or up):
+        return None
+    if low and up:
+        return string.ascii_lowercase, string.ascii_uppercase, 0.3, 0.3, 1
+    case = str.upper if up else str
+    if not dig:
+        return case(VOWELS), case(CONSONANTS), 0.6, -0.25, -1
+    letters = {c for c in core.lower() if c.isalpha()}
+    if letters <= set("abcdef") and body == x:
+        return string.digits, case("abcdef"), 0.15, 0.3, 1
+    return "234567" if not set(core) & set("0189") else string.digits, case(string.ascii_lowercase), 0.15, 0.3, 1
+
+
+def tail(z):
+    return 0.5 * math.exp(-0.717 * z - 0.416 * z * z) if z >= 0 else 1 - 0.5 * math.exp(0.717 * z - 0.416 * z * z)
+
+
+def brute_battery(x):
+    """(class of length, bin of the p-value) of a token that could be random; None for others."""
+    if (enc := brute_encoding(x)) is None:
+        return None
+    first, second, change, correlation, sign = enc
+    alphabet = first + second
+    body = x.rstrip("=")
+    body = body.replace("-", "+").replace("_", "/") if len(alphabet) == 64 else body.replace("-", "").replace("_", "")
+    n, k = len(body), len(alphabet)
+    if n < 20:
+        return None
+    squares = sum(c * c for c in Counter(body).values())
+    v = [alphabet.index(c) + 1 for c in body]
+    m = sum(v) / n
+    serial = sum((a - m) * (b - m) for a, b in zip(v, v[1:])) / max(sum((a - m) ** 2 for a in v), 1e-9)  # noqa: B905
+    part = [c in first for c in body]
+    runs, h = 1 + sum(a != b for a, b in zip(part, part[1:])), sum(part)  # noqa: B905
+    chi = k * squares / n - n
+    chi_z = ((max(chi, 0) / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    expect = 1 + 2 * h * (n - h) / n
+    runs_z = abs(runs - expect) / math.sqrt(max((expect - 1) * (expect - 2) / (n - 1), 1e-9))
+    if tail(chi_z) < 0.001 or 2 * tail(runs_z) < 0.001 or 2 * tail(abs(serial) * math.sqrt(n)) < 0.001:
+        return None
+    pairs = n * (n - 1) / 2 * 0.065
+    chi_text = (pairs - (squares - n) / 2) / math.sqrt(pairs * 0.935 + n * (n - 1) * (n - 2) * (0.0052 - 0.065**2))
+    runs_text = sign * (runs - 1 - change * (n - 1)) / math.sqrt(change * (1 - change) * (n - 1))
+    z = (chi_text + runs_text + sign * (correlation - serial) * math.sqrt(n)) / math.sqrt(3)
+    size = (0.6931 + 0.717 * z + 0.416 * z * z) / 2.302585 if z >= 0 else 0
+    return min(int(math.log2(n)), 16), min(int(size * 20), 600)
+
+
+def brute_found(tokens):
+    """Numbers of the tokens that Benjamini-Hochberg reports, by class of length."""
+    tested = {i: t for i, x in enumerate(tokens) if (t := brute_battery(x))}
+    out = set()
+    for size in {c for c, _ in tested.values()}:
+        own = sorted(((b, i) for i, (c, b) in tested.items() if c == size), reverse=True)
+        ranks = [sum(b >= x for b, _ in own) for x, _ in own]
+        good = [k for k, ((b, _), r) in enumerate(zip(own, ranks, strict=True)) if b / 20 >= -math.log10(0.001 * r / len(own))]
+        out |= {i for b, i in own if good and b >= own[max(good)][0]}
+    return out
+
+
+ENCODED = {
+    "hex": string.digits + "abcdef",
+    "hex upper": string.digits + "ABCDEF",
+    "base32": string.ascii_uppercase + "234567",
+    "base32 lower": string.ascii_lowercase + "234567",
+    "base36": string.ascii_lowercase + string.digits,
+    "base36 upper": string.ascii_uppercase + string.digits,
+    "letters": string.ascii_letters,
+    "lower": string.ascii_lowercase,
+    "base64": string.ascii_letters + string.digits + "+/",
+}
+ORDINARY = ["thisisjustaverylongwordwithoutend", "state-of-the-art-technologies", "internationalApplicationHandlerFactory", "donaudampfschifffahrtsgesellschaft", "SOME_LONG_CONSTANT_NAME", "some_snake_case_function_name_here", "release-2024-version-with-notes", "/usr/local/share/applications/default", "HTTPServerConnectionPoolManager", "anticonstitutionnellement", "20240115123456789012345", "--------------------------", "aaaaaaaaaaaaaaaaaaaaaaaaaaaa", "a1a1a1a1a1a1a1a1a1a1a1a1"]
+
+
+def test_battery_against_python(spark):
+    """Random tokens of each encoding and ordinary ones: the same are reported as by the formulas above, one by one."""
+    r = random.Random(8)
+    tokens = [(kind, "".join(r.choice(a) for _ in range(r.choice([22, 40, 64])))) for kind, a in ENCODED.items() for _ in range(45)]
+    tokens += [("ordinary", x) for x in ORDINARY for _ in range(7)] + [("base36", "qz8xk2vw9m3bt7n5rj4hs6gd"), ("base64", "A" + "b" * 30), ("base64", "aB3-_" * 9), ("hex", "550e8400-e29b-41d4-a716-446655440000")]
+    got = {x["doc_id"]: x["spans"] for x in secrets.scanned(documents(spark, [(i, f"é {x} .") for i, (_, x) in enumerate(tokens)]), ["doc_id"]).collect()}
+    base = {i for i, s in got.items() if "hex:" in s or "access:" in s}
+    free = [i for i in range(len(tokens)) if i not in base]
+    want = {free[k] for k in brute_found([tokens[i][1] for i in free])}
+    assert {i for i, s in got.items() if "random:" in s} == want and len(tokens) > 500
+    assert all(got[i] == f"random:2:{2 + len(tokens[i][1])}" for i in want)
+    assert not any(tokens[i][0] == "ordinary" for i in want)
+    assert next(i for i, (_, x) in enumerate(tokens) if x.startswith("qz8xk2")) in want
+    for kind in ENCODED:
+        own = [i for i in free if tokens[i][0] == kind and len(tokens[i][1]) == 64]
+        assert not own or sum(i in want for i in own) > 0.8 * len(own), kind
+
+
 def test_odd_inputs(spark):
     empty = hashlib.sha256(b"").hexdigest()
     for scan in (pii.found, secrets.scanned):
