@@ -34,12 +34,11 @@ SHINGLE, SIMILAR, NEAR, RADIUS, BLOCKS = 5, 0.8, 0.5, 15, 4
 #: more passes, each with items of neighbouring lengths, so that the windows of a length are made in one of them.
 PASS_CHARS, PASS_ITEMS, PASS_SIZES = 4_000_000, 2048, 256
 #: Words whose hashes a worker keeps, windows that are made at a time.
-MOST_WORDS, MOST_WORD_CHARS, ROWS = 300_000, 20_000_000, 4096
+MOST_WORDS, MOST_WORD_CHARS, ROWS = 300_000, 20_000_000, 16_384
 WORD = re.compile(r"\w+")
 _r = np.random.default_rng(11)
 MIXERS = _r.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BITS = 64 // BLOCKS
-OFFSETS = np.arange(BLOCKS, dtype=np.intp) << BITS
 #: All differences of a block that some pair within the radius has in its closest block.
 DIFFERENCES = np.array(sorted(sum(1 << p for p in own) for k in range(RADIUS // BLOCKS + 1) for own in itertools.combinations(range(BITS), k)), np.uint16)
 
@@ -57,16 +56,27 @@ class Words:
     """Hashes of words, kept by a worker while they are few."""
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.start()
+
+    def start(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.values = np.zeros(1024, np.uint64)
         self.chars = 0
 
     def hashes(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > MOST_WORDS or self.chars > MOST_WORD_CHARS:
-            self.known, self.chars = {}, 0
-        for w in set(words).difference(self.known):
-            self.known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 9)
-            self.chars += len(w)
-        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        if len(self.numbers) > MOST_WORDS or self.chars > MOST_WORD_CHARS:
+            self.start()
+        own = np.fromiter(map(self.numbers.get, words, itertools.repeat(-1)), np.int32, len(words))
+        if len(missing := np.flatnonzero(own < 0)):
+            new = list(dict.fromkeys(words[i] for i in missing.tolist()))
+            first = len(self.numbers)
+            while first + len(new) > len(self.values):
+                self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+            self.values[first : first + len(new)] = [xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 9) for w in new]
+            self.numbers.update(zip(new, range(first, first + len(new)), strict=True))
+            self.chars += sum(map(len, new))
+            own[missing] = [self.numbers[words[i]] for i in missing.tolist()]
+        return self.values[own]
 
 
 def mixed(coded: np.ndarray, k: int) -> np.ndarray:
@@ -83,21 +93,20 @@ def mixed(coded: np.ndarray, k: int) -> np.ndarray:
 def running(hashes: np.ndarray, of: int) -> np.ndarray:
     """[hashes + 1, 64]: how many of the hashes before have each bit. Counts wrap around, but the differences of those
     that are up to ``of`` hashes apart don't: the narrowest numbers that allow it are the fastest."""
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    out = np.zeros((len(hashes) + 1, 64), np.uint8 if of < 1 << 8 else np.uint16 if of < 1 << 16 else np.int64)
-    np.cumsum(bits, 0, dtype=out.dtype, out=out[1:])
-    return out
-
-
-def sealed(counts: np.ndarray, of: int) -> np.ndarray:
-    """Counts of bits [n, 64] among so many hashes -> fingerprints [n]: bits that more than half of the hashes have."""
-    return np.packbits((counts > counts.dtype.type(of // 2)).reshape(-1), bitorder="little").view(np.uint64)
+    kind = np.uint8 if of < 1 << 8 else np.uint16 if of < 1 << 16 else np.int64
+    n = -(-len(hashes) // 64)
+    counts = np.zeros((n, 64, 64), kind)  # pieces of 64 hashes, summed side by side and then joined
+    counts.reshape(-1, 64)[: len(hashes)] = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for i in range(1, 64):
+        counts[:, i] += counts[:, i - 1]
+    counts[1:] += np.cumsum(counts[:-1, -1], 0, dtype=kind)[:, None]
+    return np.concatenate([np.zeros((1, 64), kind), counts.reshape(-1, 64)[: len(hashes)]])
 
 
 def fingerprint(coded: np.ndarray) -> int:
-    """The SimHash of a sequence of hashed words (one at least)."""
+    """The SimHash of a sequence of hashed words (one at least): the bits that more than half of its shingles have."""
     h = mixed(coded, min(SHINGLE, len(coded)))
-    return int(sealed(running(h, len(h))[-1:], len(h))[0])
+    return int(np.packbits(running(h, len(h))[-1] > len(h) // 2, bitorder="little").view(np.uint64)[0])
 
 
 class Sized:
@@ -112,17 +121,19 @@ class Sized:
             for i, blocks in enumerate(own.view(np.uint16).reshape(-1, BLOCKS)):
                 for b in range(BLOCKS):
                     tables[b, blocks[b] ^ DIFFERENCES] |= np.uint8(1 << i)
-            self.eights.append((np.array(items[k : k + 8]), own, tables.reshape(-1)))
+            self.eights.append((np.array(items[k : k + 8]), own, tables))
 
     def candidates(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) numbers of all pairs within the radius; of those with one item, by window."""
-        places = windows.view(np.uint16).reshape(-1, BLOCKS) + OFFSETS
+        blocks = windows.view(np.uint16).reshape(-1, BLOCKS).T.astype(np.intp)
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for items, prints, tables in self.eights:
-            hits = tables.take(places, mode="clip")
-            at = hits.view(np.uint32).reshape(-1).nonzero()[0]
-            row, i = np.unpackbits(np.bitwise_or.reduce(hits[at], 1)[:, None], axis=1, bitorder="little").nonzero()
-            w = at[row]
+            listed = tables[0].take(blocks[0], mode="clip")
+            for b in range(1, BLOCKS):
+                listed |= tables[b].take(blocks[b], mode="clip")
+            at = np.flatnonzero(listed != 0)
+            pairs = np.flatnonzero(np.unpackbits(listed[at], bitorder="little").view(bool))
+            w, i = at[pairs >> 3], pairs & 7
             close = np.bitwise_count(windows[w] ^ prints[i]) <= RADIUS
             found.append((w[close], items[i[close]]))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -141,6 +152,7 @@ class Index:
         for n, size in enumerate(self.sizes):
             by_size[size].append(n)
         words = Words()
+        self.held = [frozenset(mixed(words.hashes(w), min(SHINGLE, len(w))).tolist()) for _, w in split]
         self.groups = {s: Sized(own, np.array([fingerprint(words.hashes(split[n][1])) for n in own], np.uint64)) for s, own in sorted(by_size.items())}
 
     def matches(self, texts: list[str]) -> list[dict[int, tuple[float, int]]]:
@@ -167,7 +179,8 @@ class Index:
         """(first word, item) of the windows within the radius of an item of their length, inside one document."""
         for k in range(1, SHINGLE):
             if k in self.groups:
-                yield from self._of_size(k, mixed(coded, k), 0, end)
+                hashes = mixed(coded, k)
+                yield from self._of_size(k, hashes, 0, end, hashes, 1)
         sizes = [s for s in self.groups if s >= SHINGLE]
         if not sizes or len(coded) < SHINGLE:
             return
@@ -178,17 +191,26 @@ class Index:
                 continue
             longest = max(own.values())
             step = max(ROWS, longest)
+            sums = bits = None
             for a in range(0, len(hashes), step):
                 counts = running(hashes[a : a + step + longest - 1], longest)
+                if sums is None:  # room for the numbers between, used again for each length
+                    sums, bits = np.empty((min(step, len(counts)), 64), counts.dtype), np.empty((min(step, len(counts)), 64), bool)
                 for s, m in own.items():
                     n = min(step, len(counts) - m)
                     if n > 0:
-                        yield from self._of_size(s, sealed(counts[m : m + n] - counts[:n], m), a, end)
+                        np.subtract(counts[m : m + n], counts[:n], out=sums[:n])
+                        np.greater(sums[:n], sums.dtype.type(m // 2), out=bits[:n])
+                        yield from self._of_size(s, np.packbits(bits[:n].reshape(-1), bitorder="little").view(np.uint64), a, end, hashes, m)
 
-    def _of_size(self, size: int, prints: np.ndarray, at: int, end: np.ndarray) -> Iterator[tuple[int, int]]:
+    def _of_size(self, size: int, prints: np.ndarray, at: int, end: np.ndarray, hashes: np.ndarray, m: int) -> Iterator[tuple[int, int]]:
+        """Those of windows of m shingles each that have so many of an item's that their similarity may reach NEAR."""
         w, items = self.groups[size].candidates(prints)
         inside = w + at + size <= end[w + at]
-        yield from zip((w[inside] + at).tolist(), items[inside].tolist(), strict=True)
+        for p, item in zip((w[inside] + at).tolist(), items[inside].tolist(), strict=True):
+            both = sum(map(self.held[item].__contains__, hashes[p : p + m].tolist()))
+            if both >= NEAR * (2 * m - both):
+                yield p, item
 
     def _short(self, coded: np.ndarray, lengths: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
         """(document, item) within the radius where the document is shorter than the item, yet has shingles enough."""

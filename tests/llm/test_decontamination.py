@@ -91,3 +91,31 @@ def test_odd_inputs(spark):
     assert d.leaks(documents(spark, []), items).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert d.leaks(odd_table(spark), none).count() == 0 and d.without(odd_table(spark), none).count() == 13
+
+
+def test_the_tables_prune_and_lose_little():
+    """Unrelated fingerprints: under a tenth of all pairs is looked at. Copies at similarities from 0.8 up: nearly all found."""
+    import numpy as np
+
+    r = np.random.default_rng(6)
+    prints = r.integers(0, 2**63, 8, dtype=np.uint64) * np.uint64(2) + r.integers(0, 2, 8, dtype=np.uint64)
+    windows = r.integers(0, 2**63, 20_000, dtype=np.uint64) * np.uint64(2)
+    (_, _, tables), = d.Sized(list(range(8)), prints).eights
+    listed = tables[0][windows.view(np.uint16).reshape(-1, 4)[:, 0]]
+    for b in range(1, 4):
+        listed = listed | tables[b][windows.view(np.uint16).reshape(-1, 4)[:, b]]
+    assert np.bitwise_count(listed).sum() < 0.1 * 8 * len(windows)
+
+    rand = random.Random(7)
+    items = [(k, prose(rand, rand.randint(40, 59))) for k in range(30)]
+    docs = []
+    for i in range(260):
+        words = rand.choice(items)[1].split()
+        for _ in range(rand.choice([1, 1, 2])):
+            words[rand.randrange(len(words))] = "changed"
+        docs.append((i, prose(rand, 30) + " " + " ".join(words) + " " + prose(rand, 30)))
+    index = d.Index(items)
+    want = {(i, k): s for i, k, s, _ in brute(docs, items)}
+    got = {(i, index.ids[n]): round(s, 9) for (i, _), m in zip(docs, index.matches([t for _, t in docs]), strict=True) for n, (s, _) in m.items()}
+    assert len(want) > 60 and not set(got) - set(want) and all(want[x] == s for x, s in got.items())
+    assert len(got) >= 0.97 * len(want)
