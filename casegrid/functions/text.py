@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from .. import vocab
 
 NONE_SPELLINGS = ["none", "n/a", "nil", ""]
-CANCEL_STAMPS = ["VOID", "CANCELLED", "CANCELED", "SUPERSEDED", "ARCHIVE", "WITHDRAWN", "REVOKED COPY"]
+# Stamps of copies that no longer count.
+CANCEL_STAMPS = ["ARCHIVE", "FILED", "COPY", "DUPLICATE", "VOID", "SUPERSEDED", "SUPERSED", "CANCELLED", "CANCELED", "DRAFT", "REISSUED", "REPLACED", "EXPIRED", "SPECIMEN"]
 # Page titles in dictionary order.
 TITLES = [("note", "ADJUDICATOR NOTE"), ("intake", "INTAKE FORM"), ("fee_receipt", "FEE RECEIPT"), ("biometric", "BIOMETRIC SLIP"), ("sponsor_letter", "SPONSOR LETTER"), ("registry", "REGISTRY EXTRACT")]
-INVISIBLE = "[\\u00AD\\u034F\\u061C\\u115F\\u1160\\u17B4\\u17B5\\u180E\\u200B-\\u200F\\u202A-\\u202E\\u2060-\\u206F\\uFE00-\\uFE0F\\uFEFF]"
-LOOKALIKES = ("АВЕКМНОРСТХаеорсухіΑΒΕΖΗΙΚΜΝΟΡΤΥΧο", "ABEKMHOPCTXaeopcyxiABEZHIKMNOPTYXo")
+# Code points that show nothing, and letters that look like Latin ones.
+INVISIBLE = "[\\u200b-\\u200f\\u2028-\\u202e\\u2060-\\u2064\\u00ad\\ufeff\\x{e0000}-\\x{e007f}]"
+LOOKALIKES = ("АВЕКМНОРСТХаеорсухІіЅѕЈјΑΒΕΖΗΙΚΜΝΟΡΤΥΧοε", "ABEKMHOPCTXaeopcyxIiSsJjABEZHIKMNOPTYXoe")
 
 
 def compact(s: Column) -> Column:
