@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import auditing, deciding, extras, fusing, grammar, inspecting, reading, recovering, selection, streamed
+from .plans import auditing, deciding, extras, fusing, grammar, inspecting, proving, reading, recovering, selection, streamed
 
-MODULES = (selection, reading, deciding, fusing, auditing, recovering, grammar, inspecting, extras, streamed)
+MODULES = (selection, reading, deciding, fusing, auditing, recovering, grammar, inspecting, proving, extras, streamed)
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -64,9 +64,11 @@ def error_census(predictions: DataFrame, truth: DataFrame, fields: list[str]) ->
     fallback = F.create_map(*[F.lit(x) for f in fields for x in (f, vocab.FALLBACKS[f])])
     both = unpivoted(predictions, fields).join(unpivoted(truth, fields).withColumnRenamed("value", "true"), ["case_id", "field"])
     kind = F.when(F.col("value") == F.col("true"), "right").when(F.col("value") == fallback[F.col("field")], "fallback").otherwise("misread")
-    # the three least cases of a kind are kept while counting, so no group is gathered whole
-    rows = both.groupBy("field", kind.alias("kind"), F.pmod(F.xxhash64("case_id"), F.lit(64)).alias("part")).agg(F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.collect_list("case_id")), 1, 3).alias("some"))
-    return rows.groupBy("field", "kind").agg(F.sum("n").alias("n"), F.array_join(F.slice(F.array_sort(F.flatten(F.collect_list("some"))), 1, 3), ",").alias("examples"))
+    told = both.select("field", kind.alias("kind"), "case_id")
+    # each part keeps its first three of a kind before they meet, so no group is gathered whole
+    first = F.row_number().over(Window.partitionBy("field", "kind").orderBy("case_id"))
+    some = told.withColumn("_n", first).where("_n <= 3").groupBy("field", "kind").agg(F.array_join(F.array_sort(F.collect_list("case_id")), ",").alias("examples"))
+    return told.groupBy("field", "kind").agg(F.count(F.lit(1)).alias("n")).join(some, ["field", "kind"])
 
 
 def threshold_grid(reads: DataFrame, nccs: list[float], margins: list[float]) -> DataFrame:
@@ -117,3 +119,41 @@ def violations(rows: DataFrame) -> DataFrame:
     }
     broken = F.array_compact(F.array(*[F.when(guard, F.lit(name)) for name, guard in rules.items()]))
     return rows.select("case_id", F.explode(broken).alias("rule"))
+
+
+def signed_values(candidates: DataFrame) -> DataFrame:
+    """case_id, field, values: the distinct values that the best rank gives a field, sorted; more than one is a conflict."""
+    top = candidates.where((F.col("rank") == 1) & (F.col("value") != ""))
+    return top.groupBy("case_id", "field").agg(F.array_sort(F.collect_set("value")).alias("values"))
+
+
+def five_gates(base: DataFrame, variant: DataFrame, truth: DataFrame, failures: DataFrame, base_signed: DataFrame, variant_signed: DataFrame) -> DataFrame:
+    """gate, passed, n: the gates that a variant of a run must pass, with the cases that speak against each, and whether it
+    passes all. Runs have case_id and decision, truth case_id and adjudication, failures case_id, signed values as above."""
+    both = base.select("case_id", F.col("decision").alias("b")).join(variant.select("case_id", F.col("decision").alias("v")), "case_id").join(truth.select("case_id", "adjudication"), "case_id")
+    new_false = both.where("v = 'APPROVED' and adjudication <> 'APPROVED' and b <> 'APPROVED'").select("case_id")
+    held = base_signed.where(F.size("values") == 1).select("case_id", "field", F.col("values")[0].alias("value"))
+    kept = variant_signed.select("case_id", "field", F.explode("values").alias("value"))
+    lost = held.join(kept, ["case_id", "field", "value"], "left_anti").select("case_id")
+    clash = variant_signed.where(F.size("values") > 1).select("case_id", "field")
+    added = clash.join(base_signed.where(F.size("values") > 1).select("case_id", "field"), ["case_id", "field"], "left_anti").select("case_id")
+    unsafe = clash.select("case_id").distinct().join(variant.where("decision <> 'NEEDS_REVIEW'").select("case_id"), "case_id", "left_semi")
+    gates = {"zero_new_false_approvals": new_false, "zero_execution_failures": failures.select("case_id"), "baseline_rank1_noninferiority": lost, "zero_new_rank1_conflicts": added, "rank1_conflicts_force_review": unsafe}
+    rows = None
+    for name, cases in gates.items():
+        row = cases.agg(F.countDistinct("case_id").alias("n")).select(F.lit(name).alias("gate"), (F.col("n") == 0).alias("passed"), "n")
+        rows = row if rows is None else rows.unionByName(row)
+    return rows.unionByName(rows.agg(F.lit("promotion_eligible").alias("gate"), F.bool_and("passed").alias("passed"), F.sum("n").alias("n")))
+
+
+def decision_diff(base: DataFrame, variant: DataFrame, fields: list[str]) -> DataFrame:
+    """case_id, changed, entered_approved: which fields, and whether the decision, differ between two runs of decided rows;
+    cases that differ in nothing are left out, and one in a single run differs in all."""
+    keep = ["decision", *fields]
+    b = base.select("case_id", F.lit(True).alias("_b"), *[F.col(f).alias(f"b_{f}") for f in keep])
+    v = variant.select("case_id", F.lit(True).alias("_v"), *[F.col(f).alias(f"v_{f}") for f in keep])
+    both = b.join(v, "case_id", "full_outer")
+    alone = F.col("_b").isNull() | F.col("_v").isNull()
+    changed = F.array_compact(F.array(*[F.when(alone | ~F.col(f"b_{f}").eqNullSafe(F.col(f"v_{f}")), f) for f in keep]))
+    entered = (F.col("v_decision") == "APPROVED") & ~F.col("b_decision").eqNullSafe(F.lit("APPROVED"))
+    return both.select("case_id", F.array_join(changed, ",").alias("changed"), F.coalesce(entered, F.lit(False)).alias("entered_approved")).where("changed <> ''")

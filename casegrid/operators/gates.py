@@ -78,8 +78,26 @@ def state(candidates: DataFrame, cases: DataFrame, notes: DataFrame, struck: Dat
     return out.withColumn("n_read", sum((F.col(f"read_{f}").cast("int") for f in vocab.FIELDS), F.lit(0)))
 
 
-def program(config: EngineConfig = DEFAULT) -> list[Step]:
-    """The steps after the policy, in order. Each sees the decision that the steps before it left."""
+#: What ``decide`` may be told of a case besides its reads: whether baseline guards are active, the view a finding comes
+#: from, whether a blocker outlives it, what the container holds, pages of doubtful identity or chosen by fallback, a
+#: finding recovered from pixels, whether strikes leave its authority in doubt, and the fields that signed values settle.
+EXTRAS = {
+    "guards": False,
+    "origin": "",
+    "preserved": False,
+    "layers": False,
+    "unmapped_fonts": 0,
+    "doubtful_pages": 0,
+    "fallback_pages": 0,
+    "recovered": "",
+    "strike_ambiguous": False,
+    "reconciled": "",
+}
+
+
+def program(config: EngineConfig = DEFAULT, extras: bool = False) -> list[Step]:
+    """The steps after the policy, in order. Each sees the decision that the steps before it left. With ``extras`` the
+    steps that need EXTRAS are among them."""
     c, read = F.col, lambda f: F.col(f"read_{f}")
     denied, approved = c("decision") == "DENIED", c("decision") == "APPROVED"
     diplomat = c("visa_class") == "DIP-1"
@@ -120,20 +138,44 @@ def program(config: EngineConfig = DEFAULT) -> list[Step]:
         Step("gray_zone", dated & age.between(*config.gray_zone), review, "stale_gray_zone"),
         Step("future_arrival", dated & approved & (age < -config.future_days), review, "implausible_future_arrival"),
         Step("evidence", branch, F.when(denied, F.lit(review)).otherwise(decision), F.when(denied, F.lit("deny_trigger_unverified")).otherwise(reason)),
+        *([Step("baseline", approved & c("guards"), review, "baseline_evidence_guard")] if extras else []),
         Step("finding", c("finding").isNotNull(), c("finding"), "adjudicator_note"),
         Step("conflict", c("conflict"), review, "rank1_note_conflict"),
-        Step("strike", approved & (F.size("blocked") > 0), review, "strike_cancellation_guard"),
+        *(after_notes(config) if extras else [Step("strike", approved & (F.size("blocked") > 0), review, "strike_cancellation_guard")]),
     ]
 
 
-def decided(state: DataFrame, epoch: DataFrame, sponsors: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
+def after_notes(config: EngineConfig) -> list[Step]:
+    """The steps that doubt an approval after notes have spoken, and the recovered finding, which has a say only where no
+    legible one has: a denial lifts a review alone, a review lowers what is terminal, and an approval takes the switch."""
+    c, review = F.col, "NEEDS_REVIEW"
+    approved = c("decision") == "APPROVED"
+    silent = c("finding").isNull() & ~c("conflict")
+    native, text_layer = c("origin") == "native_full_page_image", c("origin") == "visible_text_layer"
+    lifted = [("APPROVED", c("decision").isin("DENIED", review))] if config.recovered_approval else []
+    trusted = approved & (F.array_join("reasons", ",") == "adjudicator_note") & (c("finding") == "APPROVED") & ~c("conflict") & c("origin").isin("masked_pdf_render", "visible_text_layer")
+    unresolved = F.size(F.array_except("blocked", F.split("reconciled", ","))) > 0
+    return [
+        Step("preserved", approved & native & c("preserved"), review, "native_finding_vs_baseline_guard"),
+        Step("container", approved & text_layer & (c("layers") | (c("unmapped_fonts") > 0)), review, "untrusted_container_text_layer"),
+        Step("identity", approved & (c("doubtful_pages") > 0), review, "page_identity_ambiguous"),
+        Step("fallback", approved & (c("fallback_pages") > 0), review, "native_selector_fallback"),
+        Step("recovered", silent & (((c("recovered") == "DENIED") & (c("decision") == review)) | ((c("recovered") == review) & c("decision").isin("APPROVED", "DENIED"))), c("recovered"), "recovered_adjudicator_note"),
+        *[Step("recovered_approval", silent & (c("recovered") == to) & guard, to, "recovered_adjudicator_note_approve") for to, guard in lifted],
+        Step("strike", approved & (c("strike_ambiguous") | (unresolved & ~F.coalesce(trusted, F.lit(False)))), review, "strike_cancellation_guard"),
+    ]
+
+
+def decided(state: DataFrame, epoch: DataFrame, sponsors: DataFrame, config: EngineConfig = DEFAULT, extras: DataFrame | None = None) -> DataFrame:
     """The cases of ``state`` with decision, reasons and path. epoch has one row; sponsors is joined by its id, so it
-    may be of any size."""
+    may be of any size. ``extras`` has case_id and the columns EXTRAS; a case without a row has their defaults."""
     known = sponsors.select(F.col("sponsor_id"), F.lit(True).alias("frequent"))
     rows = state.crossJoin(F.broadcast(epoch.select("epoch"))).join(known, "sponsor_id", "left").withColumn("frequent", F.coalesce("frequent", F.lit(False)))
     rows = policy.adjudicated(rows.withColumnRenamed("receipt_date", "own_receipt").withColumn("receipt_date", F.col("epoch")), config)
     lit = lambda x: F.lit(x) if isinstance(x, str) else x
-    for step in program(config):
+    if extras is not None:
+        rows = rows.join(extras.select("case_id", *EXTRAS), "case_id", "left").withColumns({k: F.coalesce(k, F.lit(v)) for k, v in EXTRAS.items()})
+    for step in program(config, extras is not None):
         hit = F.coalesce(step.guard, F.lit(False))
         rows = rows.withColumn("_d", F.when(hit, lit(step.decision)).otherwise(F.col("decision"))).withColumn("reasons", F.when(hit, F.array(lit(step.reason))).otherwise(F.col("reasons"))).withColumn("decision", F.col("_d")).drop("_d")
     date = F.when(X.real_date(F.col("arrival_date")).isNull(), F.lit(vocab.FALLBACKS["arrival_date"])).otherwise(F.col("arrival_date"))
@@ -141,8 +183,8 @@ def decided(state: DataFrame, epoch: DataFrame, sponsors: DataFrame, config: Eng
     return rows.select("case_id", *vocab.FIELDS, "decision", "reasons", "n_read", "path", "waiver_code", *[f"read_{f}" for f in vocab.FIELDS])
 
 
-def decide(candidates: DataFrame, cases: DataFrame, notes: DataFrame, struck: DataFrame, lines: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
+def decide(candidates: DataFrame, cases: DataFrame, notes: DataFrame, struck: DataFrame, lines: DataFrame, config: EngineConfig = DEFAULT, extras: DataFrame | None = None) -> DataFrame:
     """The whole program over a batch, its epoch and frequent sponsors taken from the batch itself."""
     epoch = batch.batch_epoch(candidates, cases, config)
     sponsors = batch.batch_sponsors(candidates, notes, config)
-    return decided(state(candidates, cases, notes, struck, lines, config), epoch, sponsors, config)
+    return decided(state(candidates, cases, notes, struck, lines, config), epoch, sponsors, config, extras)

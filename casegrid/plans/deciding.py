@@ -139,6 +139,30 @@ DECIDE = f"""{EPOCH}, {FREQUENT}, {STRIKES}, {TWINS}, {select_sql('pool')}, {VOT
  decided as (select * replace (case when {DAY.replace('value', 'arrival_date')} is null then '2026-05-01' else arrival_date end as arrival_date), concat_ws(':', decision, split_part(reasons[1], ':', 1), cast(least(n_read, 9) as string)) as path from d7)"""
 INPUTS = ("candidates", "cases", "notes", "struck", "lines")
 
+#: What a case is known for besides its reads, for the steps that need it.
+EXTRAS = """select case_id, case_no % 9 = 1 as guards, case when case_no % 4 = 1 then 'native_full_page_image' when case_no % 4 = 2 then 'visible_text_layer' when case_no % 4 = 3 then 'masked_pdf_render' else '' end as origin, case_no % 3 = 1 as preserved,
+  case_no % 7 = 3 as layers, cast(case_no % 5 as int) as unmapped_fonts, cast(case when case_no % 11 = 4 then 1 else 0 end as int) as doubtful_pages, cast(case when case_no % 10 = 7 then 2 else 0 end as int) as fallback_pages,
+  case case_no % 13 when 1 then 'DENIED' when 2 then 'NEEDS_REVIEW' when 3 then 'APPROVED' else '' end as recovered, case_no % 17 = 5 as strike_ambiguous, case when case_no % 2 = 0 then 'sponsor_id,home_world' else '' end as reconciled from cases"""
+SILENT = "finding is null and not conflict"
+LATER = [
+    ("decision = 'APPROVED' and guards", "'NEEDS_REVIEW'", "'baseline_evidence_guard'"),
+    ("finding is not null", "finding", "'adjudicator_note'"),
+    ("conflict", "'NEEDS_REVIEW'", "'rank1_note_conflict'"),
+    ("decision = 'APPROVED' and origin = 'native_full_page_image' and preserved", "'NEEDS_REVIEW'", "'native_finding_vs_baseline_guard'"),
+    ("decision = 'APPROVED' and origin = 'visible_text_layer' and (layers or unmapped_fonts > 0)", "'NEEDS_REVIEW'", "'untrusted_container_text_layer'"),
+    ("decision = 'APPROVED' and doubtful_pages > 0", "'NEEDS_REVIEW'", "'page_identity_ambiguous'"),
+    ("decision = 'APPROVED' and fallback_pages > 0", "'NEEDS_REVIEW'", "'native_selector_fallback'"),
+    (f"{SILENT} and ((recovered = 'DENIED' and decision = 'NEEDS_REVIEW') or (recovered = 'NEEDS_REVIEW' and decision in ('APPROVED', 'DENIED')))", "recovered", "'recovered_adjudicator_note'"),
+    ("decision = 'APPROVED' and (strike_ambiguous or (unresolved and not (coalesce(finding, '') = 'APPROVED' and reasons = ['adjudicator_note'] and not conflict and origin in ('masked_pdf_render', 'visible_text_layer'))))", "'NEEDS_REVIEW'", "'strike_cancellation_guard'"),
+]
+DECIDE_ALL = (
+    DECIDE[: DECIDE.index(" d5 as (")].replace(" d0 as (", f""" extra as ({EXTRAS}), open as (select m.case_id, bool_or(not list_contains(string_split(reconciled, ','), field)) as unresolved from marked m join extra using (case_id) where struck and {blocking('field', 'value')} group by m.case_id),
+ st4 as (select st3.*, extra.* exclude (case_id), coalesce(unresolved, false) as unresolved from st3 join extra on extra.case_id = st3.case_id left join open on open.case_id = st3.case_id), d0 as (""").replace("from st3)", "from st4)")
+    + ", ".join(step(k, *x) for k, x in enumerate(LATER, 5))
+    + ","
+    + DECIDE[DECIDE.index("\n decided as (") :].replace("from d7)", f"from d{4 + len(LATER)})")
+)
+
 
 def inputs(spark, sf_dir):
     return tuple(frame(spark, sf_dir, x) for x in INPUTS)
@@ -175,6 +199,10 @@ QUERIES = {
         lambda s, d: G.decide(*inputs(s, d)).select("case_id", *vocab.FIELDS, "decision", F.array_join("reasons", ",").alias("reasons"), "n_read", "path"),
         oracle(INPUTS, f"with {DECIDE} select case_id, {FIELDS}, decision, array_to_string(reasons, ',') as reasons, n_read, path from decided"),
     ),
+    "decide_all_steps": (
+        lambda s, d: G.decide(*inputs(s, d), extras=s.sql(EXTRAS.replace("from cases", "from {cases}"), cases=frame(s, d, "cases"))).select("case_id", *vocab.FIELDS, "decision", F.array_join("reasons", ",").alias("reasons"), "n_read", "path"),
+        oracle(INPUTS, f"with {DECIDE_ALL} select case_id, {FIELDS}, decision, array_to_string(reasons, ',') as reasons, n_read, path from decided"),
+    ),
     "decision_transition_census": (
         lambda s, d: G.decide(*inputs(s, d)).join(frame(s, d, "truth").select("case_id", "adjudication"), "case_id").groupBy("adjudication", "decision").agg(F.count(F.lit(1)).alias("n"), F.sum(P.score(F.col("decision"), F.col("adjudication"))).cast("long").alias("points")),
         oracle((*INPUTS, "truth"), f"""with {DECIDE} select adjudication, decision, count(*) as n, cast(sum(case when decision = adjudication then 8 when decision = 'NEEDS_REVIEW' then 2 when decision = 'APPROVED' and adjudication = 'DENIED' then -4 when adjudication = 'NEEDS_REVIEW' then 1 else 0 end) as bigint) as points
