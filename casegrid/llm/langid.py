@@ -141,7 +141,7 @@ class Tagger:
 def first_of_each(learn: DataFrame) -> DataFrame:
     """(doc_id, lang) of the first SAMPLE_PER_LANGUAGE rows of each language by the hash of the id. Counts by the hash's
     first bits tell which rows can't be among them, so that no task ranks all of a frequent language."""
-    coded = learn.withColumn("h", F.xxhash64("doc_id")).withColumn("cell", F.shiftright("h", 48))
+    coded = learn.withColumn("h", F.xxhash64("doc_id")).withColumn("cell", F.shiftright("h", 52))
     counts = coded.groupBy("lang", "cell").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("lang").orderBy("cell")) - F.col("n")
     last = counts.withColumn("before", before).where(F.col("before") < SAMPLE_PER_LANGUAGE).groupBy("lang").agg(F.max("cell").alias("last"))
