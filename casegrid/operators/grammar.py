@@ -180,3 +180,21 @@ def present(truth: Column, corpus: Column) -> Column:
     """Whether a fee status stands in a normalized text by itself: "paid" inside "unpaid" doesn't count."""
     times = lambda x: F.regexp_count(corpus, x)
     return F.when(truth == "paid", times(F.lit("paid")) > times(F.lit("unpaid"))).otherwise(F.contains(corpus, X.compact(truth)))
+
+
+def template_key(s: Column) -> Column:
+    """struct(kind, label, value) of a template's key, "l/label" or "v/label/value"; null for other keys. A value may hold
+    strokes of its own."""
+    parts = F.split(s, "/", 3)
+    label, value = F.try_element_at(parts, F.lit(2)), F.try_element_at(parts, F.lit(3))
+    is_label = (parts[0] == "l") & (F.size(parts) == 2) & (label != "")
+    is_value = (parts[0] == "v") & (F.size(parts) == 3) & (label != "") & (value != "")
+    return F.when(is_label | is_value, F.struct(parts[0].alias("kind"), label.alias("label"), F.when(is_value, value).alias("value")))
+
+
+def mined_pairs(labelled: DataFrame, truth: DataFrame) -> DataFrame:
+    """field, pairs, clean, garbled: reads of labelled lines (case_id, field, value) beside the true values of their case
+    (case_id, field, tgt); a pair is clean if both are the same but for case, white space and stops."""
+    both = labelled.join(truth.where("tgt <> ''"), ["case_id", "field"])
+    clean = F.count_if(X.compact(F.col("value")) == X.compact(F.col("tgt")))
+    return both.groupBy("field").agg(F.count(F.lit(1)).alias("pairs"), clean.alias("clean")).withColumn("garbled", F.col("pairs") - F.col("clean"))

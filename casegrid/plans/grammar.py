@@ -137,3 +137,24 @@ QUERIES = {
           select c.case_id, case when fee_status = 'paid' then len(regexp_extract_all(corpus, 'paid')) > len(regexp_extract_all(corpus, 'unpaid')) else contains(corpus, fee_status) end as present from c join truth on truth.case_id = c.case_id"""),
     ),
 }
+
+TRUE = ["home_world", "visa_class", "fee_status"]
+KEYS = "select p_partkey, case p_partkey % 5 when 0 then concat('l/', p_brand) when 1 then concat('v/', p_brand, '/', p_name) when 2 then concat('v/', p_brand) when 3 then 'l/' else concat('v/', p_brand, '/a/', p_name) end as k from part"
+
+
+def true_values(s, d):
+    return frame(s, d, "truth").select("case_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("tgt")) for f in TRUE])).alias("x")).select("case_id", "x.*")
+
+
+QUERIES |= {
+    "pair_mining": (
+        lambda s, d: G.mined_pairs(QUERIES["label_field_match"][0](s, d).select("case_id", "field", "value"), true_values(s, d)),
+        oracle(("truth",), f"""with m as ({QUERIES['label_field_match'][1]}), t as (select case_id, unnest([{quoted(TRUE)}]) as field, unnest([{', '.join(TRUE)}]) as tgt from truth),
+          p as (select m.field, lower(regexp_replace(value, '[\\s.]+', '', 'g')) = lower(regexp_replace(tgt, '[\\s.]+', '', 'g')) as same from m join t on t.case_id = m.case_id and t.field = m.field where tgt <> '')
+          select field, count(*) as pairs, count(*) filter (where same) as clean, count(*) filter (where not same) as garbled from p group by field"""),
+    ),
+    "template_keys": (
+        lambda s, d: given(s, d, KEYS).withColumn("x", G.template_key(F.col("k"))).where("x is not null").select("p_partkey", "x.kind", "x.label", "x.value"),
+        f"""with k as (select *, string_split(k, '/') as w from ({KEYS})) select p_partkey, w[1] as kind, w[2] as label, case when w[1] = 'v' then array_to_string(w[3:], '/') end as value from k where (w[1] = 'l' and len(w) = 2 and w[2] <> '') or (w[1] = 'v' and len(w) >= 3 and w[2] <> '' and array_to_string(w[3:], '/') <> '')""",
+    ),
+}

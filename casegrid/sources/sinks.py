@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,3 +45,30 @@ def write_receipt(before: DataFrame, after: DataFrame, path: str) -> None:
     if changed:
         raise ValueError("inputs changed during the run")
     before.write.mode("errorifexists").json(path)
+
+
+def dump_pages(lines: DataFrame, path: str | None) -> None:
+    """The lines of every page as they were read, one JSON row a page in their order; nothing is written without a path."""
+    if path is None:
+        return
+    row = F.struct("line_no", "text", "conf")
+    pages = lines.groupBy("case_id", "page").agg(F.array_sort(F.collect_list(row)).alias("lines"))
+    pages.write.mode("overwrite").json(path)
+
+
+def append_timings(rows: DataFrame, path: str) -> None:
+    """Timings (case_id, stage, seconds) added to those that are there; rows without a finite, non-negative time are left out."""
+    good = F.col("seconds").isNotNull() & ~F.isnan("seconds") & (F.col("seconds") >= 0) & (F.col("seconds") < float("inf"))
+    rows.where(good).select("case_id", "stage", "seconds").write.mode("append").json(path)
+
+
+def write_run_receipt(before: DataFrame, read_again: Callable[[], DataFrame], body: dict[str, str], path: str) -> None:
+    """One row: the body of a run, the number of its inputs and a digest of their manifest. The inputs are hashed again
+    first; if any differs, or a receipt is there already, nothing is written."""
+    after = read_again()
+    if before.exceptAll(after).unionByName(after.exceptAll(before)).limit(1).count():
+        raise ValueError("inputs changed during the run")
+    line = F.sha2(F.concat_ws("|", "stem", F.col("length").cast("string"), "sha256"), 256)
+    lanes = [F.sum(F.conv(F.substring(line, 1 + 12 * k, 12), 16, 10).cast("decimal(38,0)")).cast("string") for k in range(5)]  # sums don't depend on order
+    row = before.agg(F.count(F.lit(1)).alias("inputs"), F.sha2(F.concat_ws("|", *[F.coalesce(x, F.lit("0")) for x in lanes]), 256).alias("manifest"))
+    row.select(*[F.lit(v).alias(k) for k, v in sorted(body.items())], "inputs", "manifest").write.mode("errorifexists").json(path)

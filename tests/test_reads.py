@@ -108,3 +108,11 @@ def test_recovery(spark):
     numbered = spark.createDataFrame([(i,) for i in range(1, 12)], "ordinal long")
     order = [r["ordinal"] for r in recovery.emission_order(numbered, 4).orderBy("place").collect()]
     assert order == [x for k in range(4) for x in range(1 + k, 12, 4)]
+
+
+def test_anchors_and_embargo_look_ahead(spark):
+    rows = [("a", 1, 1, "HOME WORLD: X"), ("a", 2, 1, "Packet MIB-000123 / page 2"), ("a", 3, 1, "zzz"), ("a", 4, 1, "INTAKE"), ("a", 5, 1, "Home wor1d"), ("a", 6, 1, "Registry Status:"), ("a", 6, 2, "-"), ("a", 6, 3, "EMB"), ("a", 7, 1, "Registry Status: CLEAR"), ("a", 7, 4, "EMB"), ("a", 7, 2, "x"), ("a", 7, 3, "y"), ("a", 8, 1, "EMBARGO REVIEW"), ("a", 9, 1, None)]
+    lines = spark.createDataFrame(rows, "case_id string, page int, line_no int, text string")
+    titles = ["manualadjudicatornote", "registryextract"]
+    assert {r["page"]: r["anchor"] for r in grammar.anchors(lines.where("page < 6 or page = 9"), titles).collect()} == {1: "content", 2: "wrapper", 3: "none", 4: "wrapper", 5: "content", 9: "none"}
+    assert {r["page"] for r in grammar.embargo_pages(lines).collect()} == {6, 8}

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from casegrid.sources import readers, sinks
 from casegrid.streaming import streams
@@ -61,3 +62,25 @@ def test_a_stream_in_shuffled_batches_gives_the_batch_result(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     keys = streams.drained(streams.distinct(streams.events(spark, folder, "60 days"), ["user_id"]), "append")
     assert keys.count() == events.select("user_id").distinct().count()
+
+
+def test_page_dumps_timings_and_run_receipts(spark, tmp_path):
+    lines = spark.createDataFrame([("a", 1, 2, "second", 0.5), ("a", 1, 1, "first", 0.9), ("b", 1, 1, None, None)], "case_id string, page int, line_no int, text string, conf double")
+    sinks.dump_pages(lines, None)
+    sinks.dump_pages(lines, str(tmp_path / "pages"))
+    pages = {r["case_id"]: [x["text"] for x in r["lines"]] for r in spark.read.json(str(tmp_path / "pages")).collect()}
+    assert pages == {"a": ["first", "second"], "b": [None]}
+    times = spark.createDataFrame([("a", "read", 1.5), ("b", "read", float("nan")), ("c", "read", -1.0), ("d", "read", None)], "case_id string, stage string, seconds double")
+    for _ in range(2):
+        sinks.append_timings(times, str(tmp_path / "times"))
+    assert [r["seconds"] for r in spark.read.json(str(tmp_path / "times")).collect()] == [1.5, 1.5]
+    before = spark.createDataFrame([("a", 3, "x"), ("b", 4, "y")], "stem string, length long, sha256 string")
+    sinks.write_run_receipt(before, lambda: before.orderBy("sha256"), {"mode": "full"}, str(tmp_path / "one"))
+    sinks.write_run_receipt(before.orderBy("length", ascending=False), lambda: before, {"mode": "full"}, str(tmp_path / "two"))
+    one, two = (spark.read.json(str(tmp_path / x)).first() for x in ("one", "two"))
+    assert one == two and one["inputs"] == 2 and one["mode"] == "full" and len(one["manifest"]) == 64
+    changed = before.withColumn("sha256", F.lit("z"))
+    with pytest.raises(ValueError, match="changed"):
+        sinks.write_run_receipt(before, lambda: changed, {}, str(tmp_path / "three"))
+    with pytest.raises(Exception, match="(?i)exist"):
+        sinks.write_run_receipt(before, lambda: before, {}, str(tmp_path / "one"))
