@@ -16,7 +16,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not sc.master.startswith("local["):
+        if shared is None and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="casegrid-checkpoints-"))
     return sc.getCheckpointDir()
