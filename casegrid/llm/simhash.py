@@ -132,6 +132,16 @@ def _dealt(fps: DataFrame, tables: list[tuple[int, int]]) -> DataFrame:
     return fps.select("fp", F.explode(array).alias("x")).select("x.t", "x.key", "fp")
 
 
+def _dealt_again(inside: DataFrame) -> DataFrame:
+    """(t, key, fp): each (t, fp) of crowded buckets under the 31 finer tables of its own t, whose keys hold the bucket's.
+    One plan for all t: with a branch for each, the driver would hold as many plans as there are crowded tables."""
+    n = len(TABLES)
+    masks = F.array(*[F.lit(_signed(m | MASKS[t])) for t in TABLES for m in FINER[t].values()])
+    each = inside.select("t", "fp", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("s"))
+    number = (F.col("t") - 1) * n + F.col("s")
+    return each.select(number.cast("int").alias("t"), F.col("fp").bitwiseAND(F.element_at(masks, number.cast("int"))).alias("key"), "fp")
+
+
 def links(fps: DataFrame, large: int = LARGE) -> DataFrame:
     """Distinct fingerprints (fp) -> (u, v) edges whose components are those of all links within the radius."""
     dealt = _dealt(fps, list(MASKS.items()))
@@ -140,13 +150,8 @@ def links(fps: DataFrame, large: int = LARGE) -> DataFrame:
     edges = sizes.where((F.col("n") == 2) & near).select("u", "v")
     many = dealt.join(sizes.where("n > 2").select("t", "key", "n"), ["t", "key"])
     edges = edges.union(_bucket_edges(many.where(F.col("n") <= large).select("t", "key", "fp")))
-    hot = sizes.where(F.col("n") > large).select("t").distinct()
-    for (t,) in sorted(map(tuple, hot.collect())):  # at most 31 rows
-        inside = many.where((F.col("n") > large) & (F.col("t") == t)).select(F.col("key").alias("outer"), "fp")
-        finer = [(s, m | MASKS[t]) for s, m in FINER[t].items()]
-        again = _dealt(inside.select("fp"), finer)
-        edges = edges.union(_bucket_edges(again))
-    return edges
+    inside = many.where(F.col("n") > large).select("t", "fp")
+    return edges.union(_bucket_edges(_dealt_again(inside)))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", large: int = LARGE) -> DataFrame:

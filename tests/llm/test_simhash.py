@@ -133,3 +133,23 @@ def test_odd_inputs(spark):
     assert simhash.kept(odd_table(spark)).columns == odd_table(spark).columns
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
     assert simhash.kept(documents(spark, [])).count() == 0
+
+
+def test_plan_does_not_grow_with_the_crowded_tables(spark):
+    """One plan deals the crowded buckets of all tables again, as the driver holds every branch of a plan at once."""
+    from casegrid.llm import common
+
+    common.prepare(spark)
+    r = random.Random(3)
+    values = {sum(1 << b for b in r.sample(range(64), 3)) for _ in range(300)}
+    fps = spark.createDataFrame([(v - 2**64 if v >= 2**63 else v,) for v in values], "fp long")
+    plans = [simhash.links(fps, large)._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") for large in (2048, 2)]
+    assert plans[0] == plans[1] == 2
+    want = brute_components({v: v for v in values})
+    from casegrid.llm.components import components
+
+    roots = {x["node"] % 2**64: x["root"] for x in components(simhash.links(fps, 2)).collect()}
+    groups = {}
+    for v in values:
+        groups.setdefault(want[v], set()).add(roots.get(v, v - 2**64 if v >= 2**63 else v))
+    assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(groups)
