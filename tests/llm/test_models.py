@@ -80,6 +80,40 @@ def test_toxicity_held_out(spark, corpus):
     assert {r["predicted"] for r in toxicity.scored(odd_table(spark), toxicity.fit(docs, spark.createDataFrame([], LABELS)), ["doc_id"]).collect()} == {0}
 
 
+def test_toxicity_thresholds_come_from_every_label(spark, monkeypatch):
+    """Labelled documents beyond the sample of the weights move the thresholds and the counts of words: here, all of them."""
+    import random
+
+    r = random.Random(6)
+    ids = [i for i in range(1400) if not held(i, 5, 0)][:1000]
+    rows, truth = [], []
+    for i in ids:
+        toxic = r.random() < 0.5
+        words = prose(r, 12).split()
+        rows.append((i, " ".join([*words, "idiot" if toxic else "kind"]), r.choice(["en", "fr"])))
+        truth.append((i, None, int(toxic)))
+    docs = documents(spark, rows)
+    monkeypatch.setattr(toxicity, "SAMPLE_PER_CLASS", 60)
+    net, learned = toxicity.trained(docs, spark.createDataFrame(truth, LABELS))
+    assert 60 < len(learned) <= 120 and net.languages == ["en", "fr"]
+    words = [w for _, t, x in rows if x == "en" for w in toxicity.WORD.findall(t)]
+    assert np.isclose(net.short["idiot"][0], np.log((words.count("idiot") + 0.5) / (len(words) + 1)) - np.log(1e-6), atol=1e-4)
+    known = spark.createDataFrame([(i, i / 100, 0) for i in ids], "doc_id long, logit double, language int")
+    labels = lambda cut: spark.createDataFrame([(i, None, int(i >= cut)) for i in ids], LABELS)
+    for cut in (ids[333], ids[777]):  # the one cut without a mistake, which is known only to who has all labels
+        before = max(i for i in ids if i < cut)
+        got = toxicity.calibrated(net, known, labels(cut), [], "doc_id").threshold[0]
+        assert before / 100 < got <= cut / 100
+    held_out = [i for i in range(1400) if held(i, 5, 0)]
+    more = known.union(spark.createDataFrame([(i, 50.0, 0) for i in held_out], known.schema))
+    wrong = labels(ids[777]).union(spark.createDataFrame([(i, None, 0) for i in held_out], LABELS))
+    assert toxicity.calibrated(net, more, wrong, []).threshold[0] == got  # labels of the held-out fold change nothing
+    fitted = toxicity.fit(docs, spark.createDataFrame(truth, LABELS))
+    one = {x["doc_id"]: x for x in toxicity.scored(docs, fitted, ["doc_id"]).collect()}
+    two = {x["doc_id"]: x for x in toxicity.judged(docs, spark.createDataFrame(truth, LABELS)).collect()}
+    assert one.keys() == two.keys() and all(abs(one[i]["score"] - two[i]["score"]) < 1e-6 and one[i]["predicted"] == two[i]["predicted"] for i in ids)
+
+
 def test_network_gradient_and_projection():
     """Training lowers the loss, and scores from the word table equal those from the filters themselves."""
     r = np.random.default_rng(2)
