@@ -25,7 +25,7 @@ from . import common
 
 CAPACITY, END_ID = 4096, 1
 MARKS = string.punctuation
-MOST_CHUNKS, MOST_WORDS, MOST_TAILS = 300_000, 450_000, 20_000
+MOST_CHUNKS, MOST_WORDS, MOST_TAILS, MOST_CHARS = 800_000, 800_000, 20_000, 24_000_000
 
 
 class ChunkIds:
@@ -34,7 +34,9 @@ class ChunkIds:
     The tokenizer drops white space and no token spans it, so a text's ids are those of its chunks in order. It also
     lower-cases, and parts marks from the letter before them; so chunks are taken in lower case where that can't
     matter, and share the ids of their words. New words of letters alone are encoded many at a time, as one line: each
-    ends where a word-end token does. Up to MOST_CHUNKS chunks, MOST_WORDS words and MOST_TAILS runs of marks are kept.
+    ends where a word-end token does. Up to MOST_CHUNKS chunks, MOST_WORDS words and MOST_TAILS runs of marks are kept;
+    chunks and words in two halves, of which the older gives way, and what is used of it moves on; long ones are fewer, as a
+    half also has at most MOST_CHARS // 2 characters.
     """
 
     def __init__(self, path: str):
@@ -47,7 +49,10 @@ class ChunkIds:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
+        self.old_chunks: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
+        self.chars = 0
 
     @classmethod
     def of(cls, path: str) -> ChunkIds:
@@ -62,33 +67,47 @@ class ChunkIds:
         raw, cuts = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
         return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)] if len(cuts) == len(words) else self._each(words)
 
+    @staticmethod
+    def _found(new: set[str], now: dict[str, bytes], old: dict[str, bytes]) -> set[str]:
+        """Those of new that neither half has; what the older half has of them is in the newer one afterwards."""
+        if known := old.keys() & new:
+            now.update(zip(known, map(old.__getitem__, known), strict=True))
+            return new - known
+        return new
+
     def _learn(self, new: set[str]) -> None:
+        plain = [c for c in new if c.isalpha()]
         parted = []
-        for c in new:
+        for c in new.difference(plain):
             word = c.rstrip(MARKS)
             parted.append((c, word, c[len(word) :]) if word[-1:].isalpha() and word[-1] != "İ" and "<|" not in c else (c, c, ""))
         tails = list({t for _, _, t in parted}.difference(self.tails))
         self.tails.update(zip(tails, self._each(tails), strict=True))
-        missing = list({w for _, w, _ in parted}.difference(self.words))
-        plain, other = [w for w in missing if w.isalpha()], [w for w in missing if not w.isalpha()]
-        for words, encode, step in ((plain, self._line, 2000), (other, self._each, 5000)):
+        missing = self._found({w for _, w, _ in parted}.union(plain).difference(self.words), self.words, self.old_words)
+        letters = [w for w in missing if w.isalpha()]
+        other = list(missing.difference(letters))
+        for words, encode, step in ((letters, self._line, 2000), (other, self._each, 5000)):
             for k in range(0, len(words), step):
                 part = words[k : k + step]
                 self.words.update(zip(part, encode(part), strict=True))
         words, ends = self.words, self.tails
-        self.chunks.update((c, words[w] + ends[t]) for c, w, t in parted)
+        self.chunks.update(zip(plain, map(words.__getitem__, plain), strict=True))
+        self.chunks.update([(c, words[w] + ends[t]) for c, w, t in parted])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers, the end id last."""
-        if len(self.chunks) > MOST_CHUNKS:
-            self.chunks = {"": b""}
-        if len(self.words) > MOST_WORDS:
-            self.words = {}
+        many = self.chars > MOST_CHARS // 2
+        if many or len(self.chunks) > MOST_CHUNKS // 2:
+            self.chunks, self.old_chunks, self.chars = {"": b""}, self.chunks, 0
+        if many or len(self.words) > MOST_WORDS // 2:
+            self.words, self.old_words = {}, self.words
         if len(self.tails) > MOST_TAILS:
             self.tails = {"": b""}
         split = [(t.lower() if lowers_alike(t) else t).replace("\n", " ").split(" ") for t in texts]
         if new := set().union(*split).difference(self.chunks):
-            self._learn(new)
+            self.chars += sum(map(len, new))
+            if new := self._found(new, self.chunks, self.old_chunks):
+                self._learn(new)
         end = np.array([END_ID], "<u4").tobytes()
         get = self.chunks.__getitem__
         return [b"".join(map(get, chunks)) + end for chunks in split]

@@ -39,6 +39,26 @@ def test_special_strings_and_long_chunks(tokenizer):
     assert packing.ChunkIds(PATH).encode(texts) == [np.array(ids_of(tokenizer, t), "<u4").tobytes() for t in texts]
 
 
+def test_caches_keep_what_is_in_use(tokenizer, monkeypatch):
+    """Words of every batch are encoded once, however many others come and go; what is kept stays bounded."""
+    monkeypatch.setattr(packing, "MOST_CHUNKS", 60)
+    monkeypatch.setattr(packing, "MOST_WORDS", 60)
+    own, asked = packing.ChunkIds(PATH), Counter()
+    for name in ("_line", "_each"):
+        encode = getattr(own, name)
+        monkeypatch.setattr(own, name, lambda words, encode=encode: (asked.update(words), encode(words))[1])
+    r = random.Random(7)
+    for k in range(40):
+        texts = [f"always there, {prose(r, 12)} it's", "z" * 30_000 * (k == 20) + " there"]
+        assert own.encode(texts) == [np.array(ids_of(tokenizer, t), "<u4").tobytes() for t in texts]
+        assert max(map(len, (own.chunks, own.old_chunks, own.words, own.old_words))) < 60
+    assert asked["always"] == asked["there"] == 1
+    monkeypatch.setattr(packing, "MOST_CHARS", 1000)
+    for k in range(3):
+        own.encode(["y" * 2000 + str(k)])
+    assert sum(map(len, [*own.chunks, *own.old_chunks])) < 5000
+
+
 def slots(places):
     """Each length's places in rank order, from a plan."""
     out = defaultdict(list)
