@@ -34,7 +34,9 @@ SHINGLE, SIMILAR, NEAR, RADIUS, BLOCKS = 5, 0.8, 0.5, 15, 4
 #: more passes, each with items of neighbouring lengths, so that the windows of a length are made in one of them.
 PASS_CHARS, PASS_ITEMS, PASS_SIZES = 4_000_000, 2048, 256
 #: Words whose hashes a worker keeps, windows that are made at a time.
-MOST_WORDS, MOST_WORD_CHARS, ROWS = 300_000, 20_000_000, 16_384
+MOST_WORDS, MOST_WORD_CHARS, ROWS, SLICED = 300_000, 20_000_000, 16_384, 16_384
+#: Lengths are dense where more than one in so many up to the longest is an item's.
+DENSE = 3
 WORD = re.compile(r"\w+")
 _r = np.random.default_rng(11)
 MIXERS = _r.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -103,6 +105,37 @@ def running(hashes: np.ndarray, of: int) -> np.ndarray:
     return np.concatenate([np.zeros((1, 64), kind), counts.reshape(-1, 64)[: len(hashes)]])
 
 
+def growing(hashes: np.ndarray, most: int, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For m = 1 to longest (below 128): m, and the SimHashes of the windows of m hashes that begin at the first ``most``
+    places, to be read before the next. All 64 counts of a window stand side by side, bit k of each in plane k; they are
+    held so far below 2 ** top that plane ``top`` has the bits that more than half of the hashes have."""
+    top = 5 if longest < 64 else 6
+    n = min(most, len(hashes))
+    planes = [np.full(n, -1, np.int64).view(np.uint64) for _ in range(top)] + [np.zeros(n, np.uint64)]
+    moves, carries = np.empty(n, np.uint64), np.empty(n, np.uint64)
+    for m in range(1, longest + 1):
+        n = min(most, len(hashes) - m + 1)
+        if n <= 0:
+            return
+        new, move = hashes[m - 1 : m - 1 + n], moves[:n]
+        if m % 2:  # one more where the new hash has the bit
+            np.copyto(move, new)
+            for plane in planes[:-1]:
+                own, carry = plane[:n], carries[:n]
+                np.bitwise_and(own, move, out=carry)
+                np.bitwise_xor(own, move, out=own)
+                move, carries, moves = carry, moves, carries
+        else:  # half of m has grown by one: one less where the new hash doesn't have the bit
+            np.invert(new, out=move)
+            for plane in planes[:-1]:
+                own = plane[:n]
+                np.bitwise_xor(own, move, out=own)
+                np.bitwise_and(move, own, out=move)
+        last = planes[-1][:n]
+        np.bitwise_xor(last, move, out=last)
+        yield m, last
+
+
 def fingerprint(coded: np.ndarray) -> int:
     """The SimHash of a sequence of hashed words (one at least): the bits that more than half of its shingles have."""
     h = mixed(coded, min(SHINGLE, len(coded)))
@@ -190,6 +223,13 @@ class Index:
             if not own:
                 continue
             longest = max(own.values())
+            if longest < 128 and longest < DENSE * len(own):  # lengths lie close: from one to the next takes less than to begin anew
+                of = {m: s for s, m in own.items()}
+                for a in range(0, len(hashes), SLICED):
+                    for m, prints in growing(hashes[a : a + SLICED + longest - 1], SLICED, longest):
+                        if m in of:
+                            yield from self._of_size(of[m], prints, a, end, hashes, m)
+                continue
             step = max(ROWS, longest)
             sums = bits = None
             for a in range(0, len(hashes), step):

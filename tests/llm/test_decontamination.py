@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+
 from casegrid.llm import decontamination as d
 
 from .helpers import documents, odd_table, prose
@@ -119,3 +121,31 @@ def test_the_tables_prune_and_lose_little():
     got = {(i, index.ids[n]): round(s, 9) for (i, _), m in zip(docs, index.matches([t for _, t in docs]), strict=True) for n, (s, _) in m.items()}
     assert len(want) > 60 and not set(got) - set(want) and all(want[x] == s for x, s in got.items())
     assert len(got) >= 0.97 * len(want)
+
+
+def test_growing_windows_equal_those_from_counts(monkeypatch):
+    """Fingerprints from planes of bits are those of the windows' counts, to the last place and at odd and even lengths;
+    items of many lengths take this way, and find what counts find."""
+    r = np.random.default_rng(8)
+    for n, most, longest in ((200, 64, 63), (200, 300, 127), (20, 7, 55), (5, 9, 11), (0, 4, 9), (400, 130, 127)):
+        hashes = r.integers(0, 2**64, n, dtype=np.uint64)
+        hashes[n // 2 :] = hashes[n // 2 :] & hashes[-1:] if n else hashes
+        seen = 0
+        for m, prints in d.growing(hashes, most, longest):
+            assert len(prints) == min(most, n - m + 1)
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(int)
+            want = [np.packbits(bits[p : p + m].sum(0) > m // 2, bitorder="little").view(np.uint64)[0] for p in range(len(prints))]
+            assert prints.tolist() == want
+            seen = m
+        assert seen == min(longest, n)
+    rng = random.Random(12)
+    items = [(k, prose(rng, 5 + k)) for k in range(40)]
+    texts = [" ".join([prose(rng, rng.randint(0, 60)), items[rng.randrange(40)][1], prose(rng, 9)]) for _ in range(80)]
+    calls = []
+    grown = d.growing
+    monkeypatch.setattr(d, "growing", lambda *a: (calls.append(a), grown(*a))[1])
+    monkeypatch.setattr(d, "SLICED", 700)
+    fast = d.Index(items).matches(texts)
+    assert len(calls) > 3 and sum(map(len, fast)) >= 80
+    monkeypatch.setattr(d, "DENSE", 0)
+    assert d.Index(items).matches(texts) == fast
