@@ -38,6 +38,8 @@ MOST_WORDS, MOST_WORD_CHARS, ROWS, SLICED = 300_000, 20_000_000, 16_384, 16_384
 #: Lengths are dense where more than one in so many up to the longest is an item's.
 DENSE = 3
 WORD = re.compile(r"\w+")
+#: Of ASCII, what isn't of a word.
+BLANKS = {i: " " for i in range(128) if not WORD.match(chr(i))}
 _r = np.random.default_rng(11)
 MIXERS = _r.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BITS = 64 // BLOCKS
@@ -46,7 +48,8 @@ DIFFERENCES = np.array(sorted(sum(1 << p for p in own) for k in range(RADIUS //
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    text = text.lower()
+    return text.translate(BLANKS).split() if text.isascii() else WORD.findall(text)
 
 
 def shingles(words: list[str]) -> list[str]:
@@ -70,14 +73,15 @@ class Words:
             self.start()
         own = np.fromiter(map(self.numbers.get, words, itertools.repeat(-1)), np.int32, len(words))
         if len(missing := np.flatnonzero(own < 0)):
-            new = list(dict.fromkeys(words[i] for i in missing.tolist()))
+            unknown = [words[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(unknown))
             first = len(self.numbers)
             while first + len(new) > len(self.values):
                 self.values = np.concatenate([self.values, np.zeros_like(self.values)])
             self.values[first : first + len(new)] = [xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 9) for w in new]
             self.numbers.update(zip(new, range(first, first + len(new)), strict=True))
             self.chars += sum(map(len, new))
-            own[missing] = [self.numbers[words[i]] for i in missing.tolist()]
+            own[missing] = list(map(self.numbers.__getitem__, unknown))
         return self.values[own]
 
 
@@ -158,7 +162,7 @@ class Sized:
 
     def candidates(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) numbers of all pairs within the radius; of those with one item, by window."""
-        blocks = windows.view(np.uint16).reshape(-1, BLOCKS).T.astype(np.intp)
+        blocks = windows.view(np.uint16).reshape(-1, BLOCKS).T.astype(np.intp, order="C")
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for items, prints, tables in self.eights:
             listed = tables[0].take(blocks[0], mode="clip")

@@ -149,3 +149,8 @@ def test_growing_windows_equal_those_from_counts(monkeypatch):
     assert len(calls) > 3 and sum(map(len, fast)) >= 80
     monkeypatch.setattr(d, "DENSE", 0)
     assert d.Index(items).matches(texts) == fast
+
+
+def test_words_of_ascii_are_those_of_the_pattern():
+    texts = ["".join(map(chr, range(128))), "a_b\x1cC9--d\n", "", "é_b\x1cC9 ", " \x00x\x7fy"]
+    assert [d.words_of(t) for t in texts] == [d.WORD.findall(t.lower()) for t in texts]
