@@ -34,7 +34,7 @@ SHINGLE, SIMILAR, NEAR, RADIUS, BLOCKS = 5, 0.8, 0.5, 15, 4
 #: more passes, each with items of neighbouring lengths, so that the windows of a length are made in one of them.
 PASS_CHARS, PASS_ITEMS, PASS_SIZES = 4_000_000, 2048, 256
 #: Words whose hashes a worker keeps, windows that are made at a time.
-MOST_WORDS, MOST_WORD_CHARS, ROWS, SLICED = 300_000, 20_000_000, 16_384, 16_384
+MOST_WORDS, MOST_WORD_CHARS, ROWS, SLICED = 300_000, 20_000_000, 16_384, 32_768
 #: Lengths are dense where more than one in so many up to the longest is an item's.
 DENSE = 3
 WORD = re.compile(r"\w+")
