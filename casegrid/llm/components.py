@@ -15,9 +15,10 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 
 def _to_least(pairs: DataFrame) -> DataFrame:
     """Each (u, v) with the least of u and all its v as m. The rows of one u may be many: the minimum is aggregated
-    before the shuffle, and the join is one that adaptive execution splits when a key is hot."""
+    before the shuffle, and the join is one that adaptive execution splits when a key is hot. It is never a broadcast, of
+    which every round would leave one in the driver."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return pairs.join(least, "u")
+    return pairs.join(least.hint("merge"), "u")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -148,7 +148,8 @@ def links(fps: DataFrame, large: int = LARGE) -> DataFrame:
     sizes = dealt.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v")).where("n > 1").checkpoint()
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= RADIUS
     edges = sizes.where((F.col("n") == 2) & near).select("u", "v")
-    many = dealt.join(sizes.where("n > 2").select("t", "key", "n"), ["t", "key"])
+    # never broadcast: the planner sizes rows after an explode as if each had stayed one, here 31 times too low
+    many = dealt.hint("merge").join(sizes.where("n > 2").select("t", "key", "n"), ["t", "key"])
     edges = edges.union(_bucket_edges(many.where(F.col("n") <= large).select("t", "key", "fp")))
     inside = many.where(F.col("n") > large).select("t", "fp")
     return edges.union(_bucket_edges(_dealt_again(inside)))
@@ -166,10 +167,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     known = fingerprints(docs, doc_id, text).checkpoint()
     nodes = known.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(nodes.select("fp"), large))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = nodes.join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id")).checkpoint()  # written, so that the join below may split a hot group
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return known.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(least.hint("merge"), "root").select("fp", "component_id")
+    return known.join(named.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def kept(docs: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ import re
 import numpy as np
 import xxhash
 
-from casegrid.llm import simhash
+from pyspark.sql import functions as F
+
+from casegrid.llm import components, simhash
 
 from .helpers import documents, odd_table, prose
 
@@ -153,3 +155,15 @@ def test_plan_does_not_grow_with_the_crowded_tables(spark):
     for v in values:
         groups.setdefault(want[v], set()).add(roots.get(v, v - 2**64 if v >= 2**63 else v))
     assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(groups)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_join_of_exploded_rows_is_a_broadcast(spark):
+    # a table this small would be broadcast by its estimate, which leaves the factor of an explode out
+    prints = spark.range(2000).select(F.xxhash64("id").alias("fp"))
+    assert "BroadcastHashJoin" not in plan_of(simhash.links(prints))
+    assert "BroadcastHashJoin" not in plan_of(components._to_least(prints.select(F.col("fp").alias("u"), F.col("fp").alias("v"))))
+    assert "BroadcastHashJoin" not in plan_of(simhash.near_duplicates(documents(spark, near_rows())))
