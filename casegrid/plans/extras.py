@@ -30,12 +30,23 @@ def asof(s, d):
 
 
 def range_join(s, d):
-    """Prices in ranges of given bounds: a range is listed under each bucket it touches, so that the join is an equality."""
+    """How many prices lie in ranges of given bounds: those below the upper bound less those below the lower. A price is
+    counted once and not met by each range that holds it: prices are counted by value, buckets are summed one after the
+    other, and within a bucket the bounds are merged into the prices in their order."""
     width = 100
-    bounds = part(s, d).where("p_size <= 5").selectExpr("p_partkey as k", "p_retailprice as lo", "p_retailprice + 25 as hi")
-    ranges = bounds.withColumn("b", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))))
-    points = part(s, d).selectExpr("p_partkey as p", "p_retailprice as x").withColumn("b", F.floor(F.col("x") / width))
-    return points.join(ranges, "b").where("x >= lo and x < hi").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    bucket = lambda c: F.floor(F.col(c) / width).alias("b")
+    points = part(s, d).where("p_retailprice is not null").groupBy(F.col("p_retailprice").alias("x")).agg(F.count(F.lit(1)).alias("c")).withColumn("b", bucket("x"))
+    ranges = part(s, d).where("p_size <= 5 and p_retailprice is not null").selectExpr("p_partkey as k", "p_retailprice as lo", "p_retailprice + 25 as hi")
+    ends = ranges.select("lo").union(ranges.select("hi")).distinct().toDF("x").select("x", F.lit(0).cast("long").alias("c"), bucket("x"))
+    earlier = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # one row for each bucket
+    whole = points.select("b", "c").union(ends.select("b", "c")).groupBy("b").agg(F.sum("c").alias("c")).select("b", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("whole"))
+    within = Window.partitionBy("b").orderBy("x").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    merged = points.select("x", "c", "b", F.lit(False).alias("end")).union(ends.select("x", "c", "b", F.lit(True)))
+    # what lies at x itself is not below it
+    at = Window.partitionBy("b", "x")
+    below = merged.withColumn("n", F.sum("c").over(within) - F.sum("c").over(at)).where("end").join(whole, "b").select("x", (F.col("n") + F.col("whole")).alias("below"))
+    lower, upper = below.toDF("lo", "less"), below.toDF("hi", "more")
+    return ranges.join(lower, "lo").join(upper, "hi").groupBy("k").agg(F.sum(F.col("more") - F.col("less")).alias("n")).where("n > 0")
 
 
 QUERIES = {
