@@ -22,7 +22,20 @@ def fused_fields(base: DataFrame, native: DataFrame) -> DataFrame:
     and the rule that kept it. A missing rank counts 99 and a missing score -1, so an unread field can always be filled."""
     b = base.select("case_id", "field", F.col("value").alias("base"), F.col("rank").alias("base_rank"), F.col("score").alias("base_score"), F.lit(True).alias("in_base"))
     n = native.select("case_id", "field", F.col("value").alias("native"), F.col("rank").alias("native_rank"), F.col("score").alias("native_score"), F.lit(True).alias("in_native"))
-    rows = b.join(n, ["case_id", "field"], "full_outer")
+    return _fused(b.join(n, ["case_id", "field"], "full_outer"))
+
+
+def fused_ledgers(base: DataFrame, native: DataFrame) -> DataFrame:
+    """The same from ledgers of one row per case (w_field: value, rank, score): they are joined before they are dealt into
+    rows of fields, of which a case has either all or none."""
+    sides = [("base", base), ("native", native)]
+    b, n = (w.select("case_id", F.struct(*[f"w_{f}" for f in vocab.FIELDS]).alias(side)) for side, w in sides)
+    part = lambda f: [x for side, _ in sides for w in [F.col(side)[f"w_{f}"]] for x in (w["value"].alias(side), w["rank"].alias(f"{side}_rank"), w["score"].alias(f"{side}_score"), F.when(F.col(side).isNotNull(), True).alias(f"in_{side}"))]
+    rows = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), *part(f)) for f in vocab.FIELDS])).alias("x")
+    return _fused(b.join(n, "case_id", "full_outer").select("case_id", rows).select("case_id", "x.*"))
+
+
+def _fused(rows: DataFrame) -> DataFrame:
     br, nr = F.coalesce(F.col("base_rank"), F.lit(99)), F.coalesce(F.col("native_rank"), F.lit(99))
     bs, ns = F.coalesce(F.col("base_score"), F.lit(-1)), F.coalesce(F.col("native_score"), F.lit(-1))
     superset = F.size(F.array_except(X.flag_set(F.col("base")), X.flag_set(F.col("native")))) == 0

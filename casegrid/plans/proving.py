@@ -21,7 +21,7 @@ SIGNED = "select case_id, field, list_sort(list(distinct value)) as vs from {} w
 
 
 def leaked(spark, sf_dir):
-    return A.leaks(fields_of(spark, sf_dir, "native"), hidden(spark, sf_dir), R.trusted(frame(spark, sf_dir, "lines")), IDENTITY)
+    return A.leaks(fields_of(spark, sf_dir, "native", IDENTITY), hidden(spark, sf_dir), R.trusted(frame(spark, sf_dir, "lines")), IDENTITY)
 
 
 def failures(spark, sf_dir):
