@@ -43,16 +43,28 @@ def run_diff(base: DataFrame, variant: DataFrame, fields: list[str]) -> DataFram
     return both.where(~F.col("base").eqNullSafe(F.col("variant")))
 
 
+def stability(base: DataFrame, variant: DataFrame, key: list[str], fields: list[str]) -> DataFrame:
+    """field, n, changed: how many pairs of reads of one key there are, and how many of them differ in each field. Reads
+    meet whole, so that no row is made for each field."""
+    a, b = (rows.select(*key, *[F.col(f).alias(f"{s}_{f}") for f in fields]) for rows, s in ((base, "a"), (variant, "b")))
+    row = a.join(b, key).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"a_{f}") != F.col(f"b_{f}")).alias(f) for f in fields])
+    told = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), "n", F.col(f).alias("changed")) for f in fields])).alias("x")
+    return row.where("n > 0").select(told).select("x.*")
+
+
 def promotion_gates(base: DataFrame, variant: DataFrame) -> DataFrame:
     """One row of gates over two decided runs (case_id, decision), and eligible, whether all hold."""
-    both = base.select("case_id", F.col("decision").alias("b")).join(variant.select("case_id", F.col("decision").alias("v")), "case_id", "full_outer")
+    # counted before they meet: rows of one case_id would meet each other row of it
+    b, v = (rows.groupBy("case_id", F.col("decision").alias(d)).agg(F.count(F.lit(1)).alias(f"_{d}")) for rows, d in ((base, "b"), (variant, "v")))
+    both = b.join(v, "case_id", "full_outer").withColumn("_n", F.coalesce("_b", F.lit(1)) * F.coalesce("_v", F.lit(1)))
+    unlike = F.coalesce(F.sum(F.when(~F.col("b").eqNullSafe(F.col("v")), F.col("_n"))), F.lit(0))
     gates = {
         "same_cases": F.bool_and(F.col("b").isNotNull() & F.col("v").isNotNull()),
         "no_new_approval": ~F.bool_or(F.coalesce((F.col("v") == "APPROVED") & (F.col("b") != "APPROVED"), F.lit(False))),
         "no_lifted_denial": ~F.bool_or(F.coalesce((F.col("b") == "DENIED") & (F.col("v") != "DENIED"), F.lit(False))),
-        "few_changes": F.avg(F.when(F.col("b").eqNullSafe(F.col("v")), 0.0).otherwise(1.0)) <= 0.05,
+        "few_changes": unlike / F.sum("_n") <= 0.05,
     }
-    row = both.agg(*[g.alias(n) for n, g in gates.items()], F.count_if(~F.col("b").eqNullSafe(F.col("v"))).alias("changed"))
+    row = both.agg(*[g.alias(n) for n, g in gates.items()], unlike.alias("changed"))
     eligible = F.lit(True)
     for n in gates:
         eligible = eligible & F.col(n)
@@ -130,18 +142,21 @@ def signed_values(candidates: DataFrame) -> DataFrame:
 def five_gates(base: DataFrame, variant: DataFrame, truth: DataFrame, failures: DataFrame, base_signed: DataFrame, variant_signed: DataFrame) -> DataFrame:
     """gate, passed, n: the gates that a variant of a run must pass, with the cases that speak against each, and whether it
     passes all. Runs have case_id and decision, truth case_id and adjudication, failures case_id, signed values as above."""
-    both = base.select("case_id", F.col("decision").alias("b")).join(variant.select("case_id", F.col("decision").alias("v")), "case_id").join(truth.select("case_id", "adjudication"), "case_id")
-    new_false = both.where("v = 'APPROVED' and adjudication <> 'APPROVED' and b <> 'APPROVED'").select("case_id")
+    # counted before they meet: each row of a case_id would meet all others of it
+    told = lambda rows, guard, n: rows.where(guard).groupBy("case_id").agg(F.count(F.lit(1)).alias(n))
+    new_false = told(variant, "decision = 'APPROVED'", "_v").join(told(base, "decision <> 'APPROVED'", "_b"), "case_id").join(told(truth, "adjudication <> 'APPROVED'", "_t"), "case_id")
+    new_false, failed = new_false.agg(F.coalesce(F.sum(F.col("_v") * F.col("_b") * F.col("_t")), F.lit(0)).alias("n")), failures.agg(F.count(F.lit(1)).alias("n"))
+    distinct = lambda cases: cases.agg(F.countDistinct("case_id").alias("n"))
     held = base_signed.where(F.size("values") == 1).select("case_id", "field", F.col("values")[0].alias("value"))
     kept = variant_signed.select("case_id", "field", F.explode("values").alias("value"))
     lost = held.join(kept, ["case_id", "field", "value"], "left_anti").select("case_id")
     clash = variant_signed.where(F.size("values") > 1).select("case_id", "field")
     added = clash.join(base_signed.where(F.size("values") > 1).select("case_id", "field"), ["case_id", "field"], "left_anti").select("case_id")
     unsafe = clash.select("case_id").distinct().join(variant.where("decision <> 'NEEDS_REVIEW'").select("case_id"), "case_id", "left_semi")
-    gates = {"zero_new_false_approvals": new_false, "zero_execution_failures": failures.select("case_id"), "baseline_rank1_noninferiority": lost, "zero_new_rank1_conflicts": added, "rank1_conflicts_force_review": unsafe}
+    gates = {"zero_new_false_approvals": new_false, "zero_execution_failures": failed, "baseline_rank1_noninferiority": distinct(lost), "zero_new_rank1_conflicts": distinct(added), "rank1_conflicts_force_review": distinct(unsafe)}
     rows = None
-    for name, cases in gates.items():
-        row = cases.agg(F.countDistinct("case_id").alias("n")).select(F.lit(name).alias("gate"), (F.col("n") == 0).alias("passed"), "n")
+    for name, told in gates.items():
+        row = told.select(F.lit(name).alias("gate"), (F.col("n") == 0).alias("passed"), "n")
         rows = row if rows is None else rows.unionByName(row)
     return rows.unionByName(rows.agg(F.lit("promotion_eligible").alias("gate"), F.bool_and("passed").alias("passed"), F.sum("n").alias("n")))
 
@@ -150,10 +165,12 @@ def decision_diff(base: DataFrame, variant: DataFrame, fields: list[str]) -> Dat
     """case_id, changed, entered_approved: which fields, and whether the decision, differ between two runs of decided rows;
     cases that differ in nothing are left out, and one in a single run differs in all."""
     keep = ["decision", *fields]
-    b = base.select("case_id", F.lit(True).alias("_b"), *[F.col(f).alias(f"b_{f}") for f in keep])
-    v = variant.select("case_id", F.lit(True).alias("_v"), *[F.col(f).alias(f"v_{f}") for f in keep])
+    # like rows are counted before they meet, and told as often at the end: each row of a case_id meets all others of it
+    b, v = (rows.groupBy("case_id", *[F.col(f).alias(f"{s}_{f}") for f in keep]).agg(F.count(F.lit(1)).alias(f"_{s}")) for rows, s in ((base, "b"), (variant, "v")))
     both = b.join(v, "case_id", "full_outer")
     alone = F.col("_b").isNull() | F.col("_v").isNull()
     changed = F.array_compact(F.array(*[F.when(alone | ~F.col(f"b_{f}").eqNullSafe(F.col(f"v_{f}")), f) for f in keep]))
     entered = (F.col("v_decision") == "APPROVED") & ~F.col("b_decision").eqNullSafe(F.lit("APPROVED"))
-    return both.select("case_id", F.array_join(changed, ",").alias("changed"), F.coalesce(entered, F.lit(False)).alias("entered_approved")).where("changed <> ''")
+    n = F.coalesce("_b", F.lit(1)) * F.coalesce("_v", F.lit(1))
+    told = both.select("case_id", F.array_join(changed, ",").alias("changed"), F.coalesce(entered, F.lit(False)).alias("entered_approved"), n.alias("_n")).where("changed <> ''")
+    return told.select("case_id", "changed", "entered_approved", F.explode(F.sequence(F.lit(1), "_n")).alias("_k")).drop("_k")
