@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from casegrid.operators import pages
 from casegrid.plans.projection import frame
 
 SMALL = Path("/root/testdata/sf0.001")
@@ -65,3 +66,9 @@ def test_ranges_that_hold_many_prices(spark, tmp_path):
     same(spark, "x_range_join", str(tmp_path))
     plan = entry.queries()["x_range_join"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan  # no range is dealt to each bucket, to meet each price there
+
+
+def test_findings_on_lines_of_one_number(spark):
+    texts = [("a", 6, "FINDING: APPROVED"), ("a", 6, "DENIED"), ("b", 6, "FINDING: DENIED"), ("b", 6, "FINDING: who knows"), ("c", 5, "FINDING: who knows"), ("c", 6, "DENIED"), ("d", 6, "FINDING: who knows")]
+    lines = spark.createDataFrame([(c, 1, n, t) for c, n, t in texts], "case_id string, page int, line_no int, text string")
+    assert {r["case_id"]: r["finding"] for r in pages.findings(lines).collect()} == {"a": "DENIED", "b": "DENIED", "c": "DENIED", "d": None}
