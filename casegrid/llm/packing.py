@@ -218,7 +218,8 @@ def packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     histogram = dict(known.groupBy("length").count().collect())  # at most CAPACITY rows
     places = plan(histogram)
     first = places[:, 0] << 44 | places[:, 1]
-    ranked = known.join(before, ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("turn") + F.col("before")).alias("rank"))
+    # never broadcast: its rows grow with the partitions, lengths of each
+    ranked = known.join(before.hint("merge"), ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("turn") + F.col("before")).alias("rank"))
 
     def make():
         def compute(batch: pa.RecordBatch) -> list:

@@ -138,3 +138,8 @@ def test_odd_inputs(spark):
     assert got.select("doc_id", "piece").where("piece = 0").count() == 13
     assert got.where("doc_id = 1").first()["length"] == 1
     assert packing.packed(documents(spark, []), PATH).count() == 0
+
+
+def test_the_join_by_partition_and_length_is_no_broadcast(spark):
+    rows = packing.packed(documents(spark, [(1, "a b c"), (2, "d")]), PATH)
+    assert "BroadcastHashJoin" not in rows._jdf.queryExecution().executedPlan().toString()
