@@ -126,6 +126,11 @@ def batch_sponsor_block(chosen: DataFrame, sponsors: DataFrame) -> DataFrame:
     wide = chosen.where(F.col("field").isin("sponsor_id", "visa_class")).groupBy("case_id").agg(
         F.max(F.when(F.col("field") == "sponsor_id", F.col("value"))).alias("sponsor_id"), F.max(F.when((F.col("field") == "visa_class") & ~F.col("ambiguous"), F.col("value"))).alias("visa")
     )
+    return sponsor_block(wide, sponsors)
+
+
+def sponsor_block(wide: DataFrame, sponsors: DataFrame) -> DataFrame:
+    """The same from one row per case: case_id, sponsor_id, visa (null if ambiguous)."""
     return wide.join(sponsors, "sponsor_id", "left_semi").where(F.coalesce(F.col("visa"), F.lit("")) != "DIP-1").select("case_id", "sponsor_id")
 
 
