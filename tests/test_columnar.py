@@ -27,7 +27,7 @@ def test_whole_reads_give_what_candidates_give(spark, monkeypatch, most):
     assert sorted(map(tuple, blocked.collect())) == sorted(map(tuple, strikes.blocked_fields(marked).collect()))
 
 
-@pytest.mark.parametrize("name", ["support_confidence", "calibration_features"])
+@pytest.mark.parametrize("name", ["support_confidence", "calibration_features", "strike_filter", "pool_union"])
 def test_no_row_is_made_for_each_field(spark, name):
     assert "NestedLoopJoin" not in catalogue.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
