@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import fuzzy as Z
+from ..functions import similarity as S
 from ..functions import text as X
-from ..sources.materialize import materialized
+from ..sources.materialize import importable, materialized
 
 # Lines that say nothing, marks of deliberate damage, the footer of a packet's page.
 NOISE = ["passportimage", "registryimage", "scanimage", "scantab", "copyartifact", "copy", "intake", "archive", "filed", "clear", "mib", "primaryintakerecord", "mibeyesonly"]
@@ -53,11 +54,12 @@ def line_kind(s: Column) -> Column:
 def note_signals(lines: DataFrame) -> DataFrame:
     """case_id, page, signals, note_like: the signs of a note among a page's lines, sorted. A page whose type isn't known
     takes two of them to be one."""
+    importable(lines.sparkSession)
     s = F.trim("text")
-    own = once(lines, "text", [{"header": Z.partial(F.lower(F.trim("text")), NOTE_HEADER) >= NOTE_LEAST}])
-    signs = F.array_compact(F.array(F.when(s.rlike(r"(?i)^\W{0,4}finding\W"), "finding"), F.when(s.rlike(r"(?i)^\W{0,4}reason\W"), "reason"), F.when(F.col("header"), "header")))
-    pages = own.groupBy("case_id", "page").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(signs)))).alias("signals"))
-    return pages.select("case_id", "page", F.array_join("signals", ",").alias("signals"), (F.size("signals") >= 2).alias("note_like"))
+    signs = {"finding": s.rlike(r"(?i)^\W{0,4}finding\W"), "header": S.partial_at_least(NOTE_HEADER, NOTE_LEAST)(F.lower(s)), "reason": s.rlike(r"(?i)^\W{0,4}reason\W")}
+    pages = lines.groupBy("case_id", "page").agg(*[F.coalesce(F.bool_or(sign), F.lit(False)).alias(name) for name, sign in signs.items()])
+    told, n = F.array_compact(F.array(*[F.when(F.col(x), x) for x in signs])), sum((F.col(x).cast("int") for x in signs), F.lit(0))
+    return pages.select("case_id", "page", F.array_join(told, ",").alias("signals"), (n >= 2).alias("note_like"))
 
 
 def anchors(lines: DataFrame, titles: list[str]) -> DataFrame:
