@@ -17,7 +17,7 @@ from ..sources.materialize import importable, materialized
 
 # Lines that say nothing, marks of deliberate damage, the footer of a packet's page.
 NOISE = ["passportimage", "registryimage", "scanimage", "scantab", "copyartifact", "copy", "intake", "archive", "filed", "clear", "mib", "primaryintakerecord", "mibeyesonly"]
-DAMAGE = r"(?i)\[?\s*[A-Z ]*?(washed\s*out|unreadable|cut\s*out|blank|redacted|missing|torn|whiteout|white\s*out|obscured|illegible|lost)\s*\]?\s*$"
+DAMAGE = r"(?i)(washed\s*out|unreadable|cut\s*out|blank|redacted|missing|torn|whiteout|white\s*out|obscured|illegible|lost)\s*\]?\s*$"
 FOOTER = r"(?i)packet\s*MIB[\s-]*\d{6}\s*/?\s*page"
 # Labels, what they announce, and the least similarity at which a label line is theirs.
 LABELS = [("applicant", "applicant_name"), ("registryname", "applicant_name"), ("speciescode", "species_code"), ("speciesmatch", "species_code"), ("homeworld", "home_world"), ("homeplanet", "home_world"), ("visaclass", "visa_class"), ("visatype", "visa_class"), ("sponsorid", "sponsor_id"), ("arrivaldate", "arrival_date"), ("declaredpurpose", "declared_purpose"), ("purpose", "declared_purpose"), ("observedflags", "risk_flags"), ("riskflags", "risk_flags"), ("flagsobserved", "risk_flags"), ("feestatus", "fee_status")]

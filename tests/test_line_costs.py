@@ -1,6 +1,10 @@
 """Queries over lines and reads at size: what is dealt, sorted and compiled, and what a long line costs."""
 
 
+import re
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from casegrid import catalogue
@@ -20,3 +24,21 @@ def test_note_signals_deal_lines_once(spark):
     reads = ["Manual Adjudicator Note", "manua1 adjudcator n0te", "", "note", "Findings of fact", "x [manual] adjudicator-note x", None]
     rows = spark.createDataFrame(list(enumerate(reads)), "i int, v string").select("i", similarity.partial_at_least(grammar.NOTE_HEADER, 70)(F.lower("v")).alias("near"))
     assert [r["near"] for r in rows.orderBy("i").collect()] == [None if x is None else bool(x) and similarity.partial(x.lower(), grammar.NOTE_HEADER) >= 70 for x in reads]
+
+
+def test_long_lines_cost_what_they_are_long(spark):
+    rows = spark.createDataFrame([("a" * 60_000,), ("a " * 5000 + "[ washed  out ] ",), ("lost and found",)], "v string")
+    begin = time.monotonic()
+    assert [r["k"] for r in rows.select(grammar.line_kind(F.col("v")).alias("k")).collect()] == ["text", "damage", "text"]
+    assert time.monotonic() - begin < 10
+
+
+@pytest.mark.parametrize("name", ["line_kinds", "paid_amount_indicator"])
+def test_methods_are_small_enough_to_be_compiled(spark, name):
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        told = catalogue.queries()[name](spark, SF)._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", told))) < 8000
