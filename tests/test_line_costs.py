@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from casegrid import catalogue
 from casegrid.functions import similarity
-from casegrid.operators import grammar
+from casegrid.operators import grammar, supervise
+
+from .test_shared_ids import same, shared  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,3 +44,14 @@ def test_methods_are_small_enough_to_be_compiled(spark, name):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", told))) < 8000
+
+
+def test_manifests_meet_in_one_aggregate(spark):
+    a, b = (spark.createDataFrame([(k,) for k in ks], "k long") for ks in ([1, 1, 2, 3, None], [3, 3, 4]))
+    found = supervise.set_difference(a, b, "k")
+    assert {tuple(r) for r in found.collect()} == {(1, "missing"), (2, "missing"), (None, "missing"), (4, "extra")} and "Join" not in plan(found)
+
+
+@pytest.mark.parametrize("name", ["leak_severity", "leak_audit", "manifest_equality", "pixel_admission", "policy_points"])
+def test_cases_that_share_an_id(spark, shared, name):  # noqa: F811
+    same(spark, name, shared)
