@@ -46,7 +46,9 @@ def pixel_reads(reads: DataFrame, pools: DataFrame, struck: DataFrame, absent: D
     for field, value in APPROVE_ENABLING:
         enabling = enabling | ((F.col("field") == field) & (F.col("value") == value))
     passed = reads.where(gate & (~enabling | F.col("confirmed")))
-    empty = passed.join(pools.select("case_id", "field").distinct(), ["case_id", "field"], "left_anti").join(absent.select("case_id", "field").distinct(), ["case_id", "field"], "left_anti")
+    # other fields never pass, so what blocks them isn't dealt; what blocks a field in either way is one set
+    taken = pools.select("case_id", "field").unionByName(absent.select("case_id", "field")).where(F.col("field").isin(*GATES)).distinct()
+    empty = passed.join(taken, ["case_id", "field"], "left_anti")
     named = struck.select("case_id", F.lower("token").alias("token")).distinct()
     clean = empty.withColumn("token", F.lower("value")).join(named, ["case_id", "token"], "left_anti")
     score = 60.0 + F.least(F.lit(30.0), 200.0 * F.col("margin"))
