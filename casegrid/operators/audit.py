@@ -20,10 +20,11 @@ def leaks(predictions: DataFrame, hidden: DataFrame, lines: DataFrame, fields: l
     fallback = F.create_map(*[F.lit(x) for f in fields for x in (f, vocab.FALLBACKS[f])])
     emitted = unpivoted(predictions, fields).where((F.col("value") != "") & (F.col("value") != fallback[F.col("field")]))
     found = emitted.join(hidden.groupBy("case_id").agg(F.concat_ws("\n", F.array_sort(F.collect_set("text"))).alias("hidden")), "case_id").where(F.contains(F.lower("hidden"), F.lower("value")))
-    trusted = lines.select("case_id", F.lower("text").alias("text"))
-    t = trusted.alias("t")
-    same = (F.col("f.case_id") == F.col("t.case_id")) & F.contains(F.col("t.text"), F.lower("f.value"))
-    return found.alias("f").join(t, same, "left_anti").select("case_id", "field", "value")
+    # the few emitted values are hashed and lines pass by them, so that no line is sorted
+    trusted = lines.select(F.col("case_id").alias("_case"), F.lower("text").alias("_text"))
+    f = found.select("case_id", "field", "value").distinct()
+    seen = trusted.join(f.hint("shuffle_hash"), (F.col("_case") == F.col("case_id")) & F.contains(F.col("_text"), F.lower("value"))).select("case_id", "field", "value").distinct()
+    return found.select("case_id", "field", "value").join(seen, ["case_id", "field", "value"], "left_anti")
 
 
 def answer_keys(found: DataFrame, least: int = 3) -> DataFrame:
